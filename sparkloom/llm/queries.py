@@ -33,18 +33,37 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkloom.llm.sharding import shard_by_bytes
+
+    return shard_by_bytes(table(spark, sf_dir, "documents"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkloom.llm.langid import identify
 
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkloom.llm.warc import archive_round_trip
+
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkloom.llm.near_dedup import near_dedup
 
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkloom.llm.nearest import nearest
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkloom.llm.packing import pack_documents
 
@@ -52,7 +71,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_pii, op2_token_files, op3_decontaminate, op5_language, op8_near_dedup, op10_packing)}
+    found = (op1_pii, op2_token_files, op3_decontaminate, op4_sharding, op5_language, op6_warc, op8_near_dedup, op9_nearest, op10_packing)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
