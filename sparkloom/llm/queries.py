@@ -51,6 +51,12 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkloom.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from sparkloom.llm.near_dedup import near_dedup
 
@@ -71,7 +77,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_pii, op2_token_files, op3_decontaminate, op4_sharding, op5_language, op6_warc, op8_near_dedup, op9_nearest, op10_packing)
+    found = (op1_pii, op2_token_files, op3_decontaminate, op4_sharding, op5_language, op6_warc, op7_licenses, op8_near_dedup, op9_nearest, op10_packing)
     return {f.__name__: f for f in found}
 
 
