@@ -8,9 +8,9 @@ A window that covers an occurrence holds one template's shingles and a few words
 surroundings, so its similarity is at least 0.5 where it lies best; with R hashes a band and B bands
 a template of that similarity is retrieved with probability 1 - (1 - 0.5^R)^B, 0.9999 for 2 and 32.
 
-Before any window is cut, texts without a template's necessary words are put aside: a template of
-which a share of 0.75 is there can't lack all words that occur in more than a quarter of its
-shingles. That drops no match.
+Texts and windows without any of a template's necessary words are put aside: where a share of 0.75
+of a template's shingles is, one of the words that together stand in more than a quarter of them
+must be. That drops no match.
 """
 
 from __future__ import annotations
@@ -61,17 +61,11 @@ def necessary_words(template: str) -> list[str]:
     return chosen
 
 
-def _hashes(shingles: Column) -> Column:
-    """Minima of ROWS * BANDS hashes of an array of strings."""
-
-    def least(i: int) -> Column:
-        return F.array_min(F.transform(shingles, lambda x: F.xxhash64(F.lit(i), x)))
-
-    return F.array(*[least(i) for i in range(ROWS * BANDS)])
-
-
-def _bands(minima: Column) -> Column:
-    return F.array(*[F.xxhash64(F.lit(b), *[minima[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)])
+def _bands(shingles: Column) -> Column:
+    """Keys of BANDS bands, each of the minima of ROWS hashes of an array of strings."""
+    least = lambda i: F.array_min(F.transform(shingles, lambda x: F.xxhash64(i, x)))
+    minima = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, *[least(b * ROWS + r) for r in range(ROWS)]))
+    return minima
 
 
 def _windows(words: Column, length: int) -> Column:
@@ -110,11 +104,12 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col
         lengths.setdefault((n, min(n, WORDS)), []).append(name)
     for (n, size), names in lengths.items():
         known = spark.createDataFrame([(x, sorted(_shingles(_tokens(templates[x])))) for x in names], "license string, wanted array<string>")
-        known = known.select("license", "wanted", F.explode(_bands(_hashes(F.col("wanted")))).alias("band"))
-        has = reduce(lambda a, b: a | b, [F.array_contains("words", w) for x in names for w in asked[x]])
-        cut = rows.where(has).select("doc_id", "h", F.explode(_windows(F.col("words"), n)).alias("w"))
+        known = known.select("license", "wanted", F.explode(_bands(F.col("wanted"))).alias("band"))
+        wanted = F.array(*[F.lit(w) for w in sorted({w for x in names for w in asked[x]})])
+        cut = rows.where(F.arrays_overlap("words", wanted)).select("doc_id", "h", F.explode(_windows(F.col("words"), n)).alias("w"))
+        cut = cut.where(F.arrays_overlap("w.words", wanted))
         cut = cut.select("doc_id", "h", F.col("w.start").alias("start"), _shingled(F.col("w.words"), size).alias("own"))
-        banded = cut.select("doc_id", "h", "start", "own", F.explode(_bands(_hashes(F.col("own")))).alias("band"))
+        banded = cut.select("doc_id", "h", "start", "own", F.explode(_bands(F.col("own"))).alias("band"))
         pairs = banded.join(F.broadcast(known), "band")
         share = F.size(F.array_intersect("wanted", "own")) / F.size("wanted")
         part = pairs.select("doc_id", "h", "license", "start", share.alias("share")).where(F.col("share") >= LEAST_SHARE)
