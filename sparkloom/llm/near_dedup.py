@@ -2,12 +2,15 @@
 
 1. Each text becomes its set of distinct five-word shingles (64-bit prints), K universal hash
    minima, B band keys and a short signature. Equal sets collapse to one class at once.
-2. Classes that share a band key are candidates. Each bucket links its members to its smallest
-   class (a star), never to one another; signatures discard unlikely links, and the shingle sets,
-   made again from the texts of the classes still in question, confirm the rest exactly.
+2. Classes that share a band key are candidates. Each bucket links its members to its centre, the
+   class with the most bucket mates (a star), never to one another; signatures discard unlikely
+   links, and the shingle sets, made again from the texts of the classes still in question,
+   confirm the rest exactly.
 3. Large-star and small-star give components. Members of one bucket that are still in different
-   components after that, and were not compared, are then compared too (by signature, then by
-   set), so that a link which is hidden behind a dissimilar bucket centre isn't lost.
+   components after that, and were not compared, are then compared in blocks: signatures tell who
+   has a likely partner, and the sets of these confirm links until the block is connected. Only
+   links that join two components leave a block, so that a link which is hidden behind a
+   dissimilar centre isn't lost and no block gives all its pairs.
 
 With R rows a band and B bands, a pair of similarity s meets in no bucket with probability
 (1 - s^R)^B: 5e-6 at 0.75 for 4 and 32.
@@ -38,6 +41,8 @@ _SALTS = np.random.default_rng(20240229).integers(0, 2**63, (2, ROWS * BANDS), d
 _A, _B = (_SALTS[0] * np.uint64(2) + np.uint64(1))[:, None], _SALTS[1][:, None]
 _CACHE = 400_000
 _CHUNK = 2048
+#: Members of a bucket that are compared with one another in one task.
+BLOCK = 512
 
 
 class _Prints(dict):
@@ -116,16 +121,22 @@ def _alike(batches):
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
+def _near(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether 100 * intersection >= percent * union, for two sorted sets."""
+    short, long = (x, y) if len(x) <= len(y) else (y, x)
+    if 100 * len(short) < percent * len(long):
+        return False
+    at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+    both = int((long[at] == short).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _linked(batches, percent: int):
     """Of pairs with two full sets, those with 100 * intersection >= percent * union."""
     for batch in batches:
         keep = []
         for x, y in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            short, long = (x, y) if len(x) <= len(y) else (y, x)
-            at = np.minimum(np.searchsorted(long, short), len(long) - 1)
-            both = int((long[at] == short).sum())
-            keep.append(100 * both >= percent * (len(x) + len(y) - both))
+            keep.append(_near(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent))
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -139,6 +150,15 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return source.mapInArrow(_sign, "id long, n long, k long, bands array<long>, sig binary")
 
 
+def _sets_of(classes: DataFrame, asked: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``k, s``: the full sets of the classes asked for, made again from a text of each."""
+    ids = classes.join(asked, "k", "left_semi").select("first").distinct()
+    ids = F.broadcast(ids) if within(ids, BROADCAST_IDS) else ids
+    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("first"), F.col(text_col).alias("t")).where("t is not null")
+    sets = texts.join(ids, "first", "left_semi").select("t").mapInArrow(_sets, "k long, s binary")
+    return saved(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")[0]
+
+
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """Of the candidate pairs (a, b) of classes, the links; signatures first, then full sets."""
     sigs = classes.select("k", "sig")
@@ -149,16 +169,101 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
         .mapInArrow(_alike, "a long, b long")
     )
     likely, _ = saved(likely, "likely")
-    asked = likely.select(F.col("a").alias("k")).unionAll(likely.select(F.col("b").alias("k"))).distinct()
-    ids = classes.join(asked, "k", "left_semi").select("first").distinct()
-    ids = F.broadcast(ids) if within(ids, BROADCAST_IDS) else ids
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("first"), F.col(text_col).alias("t")).where("t is not null")
-    sets = texts.join(ids, "first", "left_semi").select("t").mapInArrow(_sets, "k long, s binary")
-    sets, _ = saved(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")
+    sets = _sets_of(classes, likely.select(F.col("a").alias("k")).unionAll(likely.select(F.col("b").alias("k"))).distinct(), docs, id_col, text_col)
     full = likely.join(sets.withColumnsRenamed({"k": "a", "s": "sa"}), "a").join(sets.withColumnsRenamed({"k": "b", "s": "sb"}), "b")
     return full.select("a", "b", "sa", "sb").mapInArrow(lambda it: _linked(it, percent), "a long, b long")
 
 
+def _blocks(batches):
+    """Runs of equal (h, i, j) in sorted batches, each as one table."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(c).to_numpy() for c in ("h", "i", "j")]
+        new = np.flatnonzero(np.any([x[1:] != x[:-1] for x in keys], axis=0)) + 1
+        for a, b in zip([0, *new], [*new, batch.num_rows], strict=True):
+            part = batch.slice(a, b - a)
+            if held and any(held[-1].column(c)[-1] != part.column(c)[0] for c in ("h", "i", "j")):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _likely_rows(block: pa.Table):
+    """Signatures, and for each row the later rows of another component (and, across two parts, of the other part) that look alike."""
+    sig = np.frombuffer(b"".join(block.column("sig").to_pylist()), np.uint8).reshape(-1, ROWS * BANDS)
+    root, own = block.column("root").to_numpy(), block.column("own").to_numpy()
+    apart = block.column("i")[0] != block.column("j")[0]
+    for x in range(len(sig) - 1):
+        ok = root[x + 1 :] != root[x]
+        if apart:
+            ok &= own[x + 1 :] != own[x]
+        y = np.flatnonzero(ok) + x + 1
+        if len(y):
+            same = (sig[y] == sig[x]).mean(axis=1)
+            y = y[(same - 1 / 256) / (1 - 1 / 256) >= LEAST_ESTIMATE]
+        yield x, y
+
+
+def _partnered(batches):
+    """The rows that have a likely partner in their block which they meet in no earlier bucket."""
+    for block in _blocks(batches):
+        h = block.column("h")[0].as_py()
+        bands = np.array(block.column("bands").to_pylist(), np.int64)
+        keep = np.zeros(len(bands), bool)
+        for x, y in _likely_rows(block):
+            if len(y):
+                first = (bands[y] == bands[x]).argmax(axis=1)
+                y = y[bands[x][first] == h]
+                keep[y] = True
+                keep[x] |= len(y) > 0
+        if keep.any():
+            yield from block.select(["h", "i", "j", "own", "k", "root", "sig"]).filter(pa.array(keep)).to_batches()
+
+
+def _joining(batches, percent: int):
+    """Confirmed links of each block that join two of its components."""
+    for block in _blocks(batches):
+        k, roots = block.column("k").to_pylist(), block.column("root").to_pylist()
+        sets = [np.frombuffer(x, np.uint64) for x in block.column("s").to_pylist()]
+        up = {r: r for r in roots}
+
+        def top(r, up=up):
+            while up[r] != r:
+                up[r] = up[up[r]]
+                r = up[r]
+            return r
+
+        a, b = [], []
+        for x, y in _likely_rows(block):
+            for z in y.tolist():
+                if top(roots[x]) != top(roots[z]) and _near(sets[x], sets[z], percent):
+                    up[top(roots[x])] = top(roots[z])
+                    a.append(k[x]), b.append(k[z])
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _between_components(rows: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Links between members of one bucket that are in different components; rows: ``h, k, m, root``.
+
+    A bucket of more than BLOCK members is dealt into parts, and every two parts meet in one block.
+    """
+    parts = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = F.pmod(F.col("k"), parts.cast("long")).cast("int")
+    dealt = rows.join(classes.select("k", "sig", "bands"), "k").withColumn("own", own)
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("with"))
+    dealt = dealt.select("h", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "k", "root", "sig", "bands")
+    sort = lambda d: d.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "k")
+    kept, _ = saved(sort(dealt).mapInArrow(_partnered, "h long, i int, j int, own int, k long, root long, sig binary"), "partnered")
+    sets = _sets_of(classes, kept.select("k").distinct(), docs, id_col, text_col)
+    full = sort(kept.join(sets, "k").select("h", "i", "j", "own", "k", "root", "sig", "s"))
+    return full.mapInArrow(lambda it: _joining(it, percent), "a long, b long")
+
+
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for each row.
 
@@ -175,28 +280,21 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes, _ = saved(classes, "classes")
     members = classes.select("k", F.explode("bands").alias("h"))
     buckets, _ = saved(members.groupBy("h").agg(F.min("k").alias("c"), F.count("*").alias("m")).where("m > 1"), "buckets")
-    held, _ = saved(members.join(buckets, "h").select("h", "k", "c", "m"), "held")
-
-    stars = held.where("k <> c").select(F.col("k").alias("a"), F.col("c").alias("b")).distinct()
+    held, _ = saved(members.join(buckets, "h").select("h", "k", "m"), "held")
+    mates = held.groupBy("k").agg(F.sum("m").alias("mates"))
+    centres = held.join(mates, "k").groupBy("h").agg(F.max(F.struct("mates", "k")).alias("c")).select("h", "c.k")
+    stars = held.join(centres.withColumnRenamed("k", "c"), "h").where("k <> c").select(F.col("k").alias("a"), F.col("c").alias("b")).distinct()
     links, _ = saved(_confirm(stars, classes, docs, id_col, text_col, percent), "links")
     found, _ = saved(connected_components(links), "found")
 
-    others = held.where("m > 2 and k <> c").join(found.withColumnRenamed("node", "k"), "k", "left").select("h", "k", F.coalesce("root", "k").alias("root"))
+    others = held.where("m > 2").join(found.withColumnRenamed("node", "k"), "k", "left").select("h", "k", "m", F.coalesce("root", "k").alias("root"))
     others, _ = saved(others, "others")
     split = others.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
-    open_rows, _ = saved(others.join(split, "h", "left_semi"), "open")
-    pairs = (
-        open_rows.select("h", F.col("k").alias("a"), F.col("root").alias("ra"))
-        .join(open_rows.select("h", F.col("k").alias("b"), F.col("root").alias("rb")), "h")
-        .where("ra < rb")
-        .select("a", "b")
-        .distinct()
-    )
-    if open_rows.limit(1).count():
-        more, _ = saved(_confirm(pairs, classes, docs, id_col, text_col, percent), "more")
-        if more.limit(1).count():
-            known = found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
-            found = connected_components(known.unionAll(more))
+    more = _between_components(others.join(split, "h", "left_semi"), classes, docs, id_col, text_col, percent)
+    more, _ = saved(more, "more")
+    if more.limit(1).count():
+        known = found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+        found = connected_components(known.unionAll(more))
 
     named = classes.select("k", "least").join(found.withColumnRenamed("node", "k"), "k", "left").select("k", "least", F.coalesce("root", "k").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component"))
