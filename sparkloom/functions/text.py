@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: White space as Python sees it: Java's Unicode class and the four information separators.
 SPACE = r"[\s\x1c-\x1f]"
@@ -28,7 +29,7 @@ def title_expression(c: Column) -> Column:
     return collapse(F.regexp_replace(c, _OUTLET, ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Composed form; there is no built-in for it."""
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))

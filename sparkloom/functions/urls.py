@@ -8,6 +8,7 @@ from urllib.parse import urljoin, urlsplit, urlunsplit
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType
 
 #: Schemes that are never followed, before ":" or "(".
 REJECTED = ("javascript", "vbscript", "data", "mailto", "tel")
@@ -28,7 +29,7 @@ def resolve(base: str | None, href: str | None) -> str | None:
     return urlunsplit((parts.scheme, parts.netloc.lower(), parts.path or "/", parts.query, ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def normalize_url(base: pd.Series, href: pd.Series) -> pd.Series:
     """resolve() over columns; needed only for relative links."""
     return pd.Series([resolve(b, h) for b, h in zip(base, href, strict=True)], dtype=object)
@@ -66,7 +67,7 @@ def is_allowed_fetch(url: Column, entrypoints: Column, *policy: Column) -> Colum
     return F.coalesce(F.array_contains(F.transform(entrypoints, normalize_absolute), url), F.lit(False)) | is_allowed_candidate(url, *policy)
 
 
-@F.pandas_udf("boolean")
+@F.pandas_udf(BooleanType())
 def robots_allows(robots: pd.Series, url: pd.Series, agent: pd.Series) -> pd.Series:
     """Whether robots.txt lets the agent fetch the URL; no robots.txt allows all."""
     made: dict[str, robotparser.RobotFileParser] = {}
@@ -82,7 +83,7 @@ def robots_allows(robots: pd.Series, url: pd.Series, agent: pd.Series) -> pd.Ser
     return pd.Series(out)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def robots_delay(robots: pd.Series, agent: pd.Series) -> pd.Series:
     """The agent's crawl delay in seconds, or null."""
     out = []
