@@ -27,11 +27,11 @@ CHUNKS = 64
 
 
 def _pieces(batches, path: str, spaced: bool, end_id: int, capacity: int):
-    encoder, end = Encoder(path, spaced), np.array([end_id], "<u4").tobytes()
+    encoder, end = Encoder.of(path, spaced), np.array([end_id], "<u4").tobytes()
     for batch in batches:
         rows = []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            ids = encoder.ids(text) + end
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.each(batch.column(1).to_pylist()), strict=True):
+            ids += end
             n = len(ids) // 4
             cut = (n - 1) % capacity + 1
             for k, (a, b) in enumerate(zip([0, *range(cut, n, capacity)], range(cut, n + 1, capacity), strict=True)):

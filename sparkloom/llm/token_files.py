@@ -37,10 +37,10 @@ SCHEMA = "doc_id long, file int, first long, n_tokens int, ids array<int>"
 
 
 def _encoded(batches, path: str, spaced: bool, end_id: int):
-    encoder, first, end = Encoder(path, spaced), 0, np.array([end_id], "<u4").tobytes()
+    encoder, first, end = Encoder.of(path, spaced), 0, np.array([end_id], "<u4").tobytes()
     file = TaskContext.get().partitionId()
     for batch in batches:
-        ids = [encoder.ids(t) + end for t in batch.column(1).to_pylist()]
+        ids = [x + end for x in encoder.each(batch.column(1).to_pylist())]
         n = np.array([len(x) // 4 for x in ids], np.int64)
         starts = first + np.cumsum(n) - n
         first += int(n.sum())

@@ -1,22 +1,30 @@
-"""Encoding of whole texts with a public tokenizer, word by word through a bounded cache.
+"""Encoding of whole texts with a public tokenizer, piece by piece through a bounded cache.
 
 The tokenizers library makes every id. Its pre-tokenizers never join what stands on both sides of
-the places where a text is cut here, so the ids of the pieces are the ids of the text, and a word
-that was seen before need not be encoded again.
+the places where a text is cut here (beside white space, and between Latin letters and the
+punctuation after them), so the ids of the pieces are the ids of the text, and a piece that was
+seen before need not be encoded again. New pieces are encoded together, with a separator between
+them whose id no piece can have.
 """
 
 from __future__ import annotations
 
 import os
 import re
+import sys
+import types
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-_CACHE, _LONG = 300_000, 48
-#: White space on which Python and the tokenizers' patterns may differ; such texts are encoded whole.
-_ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_CACHE, _LONG, _CHARS = 700_000, 48, 1 << 19
+#: White space on which Python and the tokenizers' patterns may differ, and the separators; such texts are encoded whole.
+_ODD = re.compile("[\x01\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
+_LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]+(?=[\\s.,;:!?]|\\Z)"
+_MARKS = "[.,;:!?]+(?=\\s|\\Z)"
 #: White space up to its last character before a word; a word with the space before it.
-_SPACED = re.compile(r"\s+(?!\S)| ?\S+|\s")
+_SPACED = re.compile(rf" ?{_LETTERS}|{_MARKS}|\s+(?!\S)| ?\S+|\s")
+_PLAIN = re.compile(rf"{_LETTERS}|{_MARKS}|\S+")
 
 
 class Encoder:
@@ -28,30 +36,61 @@ class Encoder:
 
         self._made = Tokenizer.from_file(path)
         self._made.encode_special_tokens = True
-        self._cut = _SPACED.findall if spaced else str.split
+        self._cut = (_SPACED if spaced else _PLAIN).findall
+        self._between = "\n" if spaced else " \x01 "
+        mark = self._whole(self._between)
+        self._mark = int(mark[0]) if len(mark) == 1 else None
         self._seen: dict[str, bytes] = {}
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self._made.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def ids(self, text: str | None) -> bytes:
-        """The text's ids as little-endian unsigned 32-bit integers; none for null."""
-        if not text:
-            return b""
-        if _ODD.search(text):
-            return self._encode([text])[0]
-        pieces, seen = self._cut(text), self._seen
-        try:
-            return b"".join([seen[x] for x in pieces])
-        except KeyError:
-            new = list({x for x in pieces if x not in seen})
-            got = dict(zip(new, self._encode(new), strict=True))
+    @staticmethod
+    def of(path: str, spaced: bool) -> Encoder:
+        """This worker's encoder: workers serve many tasks, and its bounded cache serves them all."""
+        held = sys.modules.setdefault("_sparkloom_worker", types.ModuleType("_sparkloom_worker")).__dict__
+        if (path, spaced) not in held:
+            held[path, spaced] = Encoder(path, spaced)
+        return held[path, spaced]
+
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self._made.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of pieces, most of them by one call."""
+        alone = [x for x in new if self._mark is None or x.isspace()]
+        got = {x: self._whole(x).tobytes() for x in alone}
+        rest = new if not alone else [x for x in new if x not in got]
+        if rest:
+            ids = self._whole(self._between.join(rest))
+            ends = np.append(np.flatnonzero(ids == self._mark), len(ids)) * 4
+            starts = np.append(0, ends[:-1] + 4)
+            raw = ids.tobytes()
+            got.update((x, raw[a:b]) for x, a, b in zip(rest, starts.tolist(), ends.tolist(), strict=True))
+        return got
+
+    def _group(self, texts: list[str | None]) -> Iterator[bytes]:
+        seen, cut = self._seen, self._cut
+        pieces = [None if not t or _ODD.search(t) else cut(t) for t in texts]
+        new = list({x for p in pieces if p for x in p if x not in seen})
+        if new:
+            got = self._learn(new)
             if len(seen) + len(got) > _CACHE:
+                kept = {x: seen[x] for p in pieces if p for x in p if x in seen}
                 seen.clear()
-            seen.update((k, v) for k, v in got.items() if len(k) <= _LONG)
-            return b"".join([v if (v := seen.get(x)) is not None else got[x] if x in got else self._again(x) for x in pieces])
+                seen.update(kept)
+            seen.update(got)
+        for text, p in zip(texts, pieces, strict=True):
+            yield b"".join([seen[x] for x in p]) if p is not None else self._whole(text).tobytes() if text else b""
+        for x in new:
+            if len(x) > _LONG:
+                del seen[x]
 
-    def _again(self, piece: str) -> bytes:
-        made = self._seen[piece] = self._encode([piece])[0]
-        return made
+    def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """Each text's ids as little-endian unsigned 32-bit integers; none for null."""
+        group: list[str | None] = []
+        chars = 0
+        for text in texts:
+            group.append(text)
+            chars += len(text or "")
+            if chars >= _CHARS:
+                yield from self._group(group)
+                group, chars = [], 0
+        yield from self._group(group)
