@@ -28,9 +28,9 @@ CHUNKS = 64
 
 def _pieces(batches, path: str, spaced: bool, end_id: int, capacity: int):
     encoder, end = Encoder.of(path, spaced), np.array([end_id], "<u4").tobytes()
-    for batch in batches:
+    for doc_ids, texts in encoder.groups(batches):
         rows = []
-        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.each(batch.column(1).to_pylist()), strict=True):
+        for doc_id, ids in zip(doc_ids.to_pylist(), texts, strict=True):
             ids += end
             n = len(ids) // 4
             cut = (n - 1) % capacity + 1

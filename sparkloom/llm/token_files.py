@@ -39,15 +39,15 @@ SCHEMA = "doc_id long, file int, first long, n_tokens int, ids array<int>"
 def _encoded(batches, path: str, spaced: bool, end_id: int):
     encoder, first, end = Encoder.of(path, spaced), 0, np.array([end_id], "<u4").tobytes()
     file = TaskContext.get().partitionId()
-    for batch in batches:
-        ids = [x + end for x in encoder.each(batch.column(1).to_pylist())]
+    for doc_ids, texts in encoder.groups(batches):
+        ids = [x + end for x in texts]
         n = np.array([len(x) // 4 for x in ids], np.int64)
         starts = first + np.cumsum(n) - n
         first += int(n.sum())
         offsets = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
         lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), np.int32)))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(np.full(len(n), file, np.int32)), pa.array(starts), pa.array(n.astype(np.int32)), lists],
+            [doc_ids, pa.array(np.full(len(n), file, np.int32)), pa.array(starts), pa.array(n.astype(np.int32)), lists],
             ["doc_id", "file", "first", "n_tokens", "ids"],
         )
 

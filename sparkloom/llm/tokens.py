@@ -1,30 +1,32 @@
-"""Encoding of whole texts with a public tokenizer, piece by piece through a bounded cache.
+"""Encoding of whole texts with a public tokenizer, each distinct piece of a group of texts once.
 
 The tokenizers library makes every id. Its pre-tokenizers never join what stands on both sides of
-the places where a text is cut here (beside white space, and between Latin letters and the
-punctuation after them), so the ids of the pieces are the ids of the text, and a piece that was
-seen before need not be encoded again. New pieces are encoded together, with a separator between
-them whose id no piece can have.
+the places where a text is cut here (before a space or a line break that is not in the midst of
+white space, and between Latin letters and the punctuation after them), so the ids of the pieces
+are the ids of the text. Arrow splits the texts of a group and numbers its distinct pieces, which
+are encoded together, with a separator between them whose id no piece can have; numpy puts the ids
+of the texts together. Nothing is kept from one group to the next, so memory is bounded by a group.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import sys
 import types
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_CACHE, _LONG, _CHARS = 700_000, 48, 1 << 19
-#: White space on which Python and the tokenizers' patterns may differ, and the separators; such texts are encoded whole.
-_ODD = re.compile("[\x01\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]")
-_LETTERS = "[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ]+(?=[\\s.,;:!?]|\\Z)"
-_MARKS = "[.,;:!?]+(?=\\s|\\Z)"
-#: White space up to its last character before a word; a word with the space before it.
-_SPACED = re.compile(rf" ?{_LETTERS}|{_MARKS}|\s+(?!\S)| ?\S+|\s")
-_PLAIN = re.compile(rf"{_LETTERS}|{_MARKS}|\S+")
+#: Bytes of text in a group (or one batch, if that is larger); pieces encoded by one call.
+GROUP_BYTES, CALL_PIECES = 8 << 20, 10_000
+#: White space on which Arrow and the tokenizers' patterns may differ, and the signs; such texts are encoded whole.
+_ODD = "[\x01\x02\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]"
+#: A space or line break in the midst or at the end of white space, before which no text may be cut.
+_AMID = r"|[\t\n\r ][ \n](?:[\t\n\r ]|$)"
+#: Marks between a Latin letter and a space; words come back less often with marks than without.
+_MARKED = "([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ])([.,;:!?]+[ \n])"
 
 
 class Encoder:
@@ -36,15 +38,14 @@ class Encoder:
 
         self._made = Tokenizer.from_file(path)
         self._made.encode_special_tokens = True
-        self._cut = (_SPACED if spaced else _PLAIN).findall
+        self._spaced = spaced
         self._between = "\n" if spaced else " \x01 "
         mark = self._whole(self._between)
         self._mark = int(mark[0]) if len(mark) == 1 else None
-        self._seen: dict[str, bytes] = {}
 
     @staticmethod
     def of(path: str, spaced: bool) -> Encoder:
-        """This worker's encoder: workers serve many tasks, and its bounded cache serves them all."""
+        """This worker's encoder: workers serve many tasks, and the vocabulary is read once."""
         held = sys.modules.setdefault("_sparkloom_worker", types.ModuleType("_sparkloom_worker")).__dict__
         if (path, spaced) not in held:
             held[path, spaced] = Encoder(path, spaced)
@@ -53,44 +54,89 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self._made.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """The ids of pieces, most of them by one call."""
-        alone = [x for x in new if self._mark is None or x.isspace()]
-        got = {x: self._whole(x).tobytes() for x in alone}
-        rest = new if not alone else [x for x in new if x not in got]
-        if rest:
-            ids = self._whole(self._between.join(rest))
-            ends = np.append(np.flatnonzero(ids == self._mark), len(ids)) * 4
-            starts = np.append(0, ends[:-1] + 4)
-            raw = ids.tobytes()
-            got.update((x, raw[a:b]) for x, a, b in zip(rest, starts.tolist(), ends.tolist(), strict=True))
-        return got
-
-    def _group(self, texts: list[str | None]) -> Iterator[bytes]:
-        seen, cut = self._seen, self._cut
-        pieces = [None if not t or _ODD.search(t) else cut(t) for t in texts]
-        new = list({x for p in pieces if p for x in p if x not in seen})
-        if new:
-            got = self._learn(new)
-            if len(seen) + len(got) > _CACHE:
-                kept = {x: seen[x] for p in pieces if p for x in p if x in seen}
-                seen.clear()
-                seen.update(kept)
-            seen.update(got)
-        for text, p in zip(texts, pieces, strict=True):
-            yield b"".join([seen[x] for x in p]) if p is not None else self._whole(text).tobytes() if text else b""
-        for x in new:
-            if len(x) > _LONG:
-                del seen[x]
-
-    def each(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+    def _together(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """The ids of pieces with a mark before each, and where each piece starts and ends."""
+        text = self._between + pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(pieces)], pa.int32()), pieces), self._between)[0].as_py()
+        ids = self._whole(text)
+        at = np.flatnonzero(ids == self._mark)
+        return (ids, at + 1, np.append(at[1:], len(ids))) if len(at) == len(pieces) else None
+
+    def _encoded(self, pieces: pa.Array, alone: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where those of each piece start and end; a mark stands before pieces that are not alone."""
+        starts, ends = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        runs, size = [np.array([self._mark or 0], "<u4")], 1
+        many = np.flatnonzero(~alone)
+        for at in np.split(many, range(CALL_PIECES, len(many), CALL_PIECES)) if len(many) else []:
+            made = self._together(pieces.take(pa.array(at)))
+            if made is None:
+                alone[at] = True
+                continue
+            starts[at], ends[at] = made[1] + size, made[2] + size
+            runs.append(made[0])
+            size += len(made[0])
+        for k in np.flatnonzero(alone).tolist():
+            ids = self._whole(pieces[k].as_py())
+            starts[k], ends[k] = size + 1, size + 1 + len(ids)
+            runs += [runs[0], ids]
+            size += 1 + len(ids)
+        return np.concatenate(runs), starts, ends
+
+    def _pieces(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For distinct words: ids, and where those of each start and end."""
+        blank = pc.equal(words, "").to_numpy(zero_copy_only=False)
+        if not self._spaced:
+            ids, starts, ends = self._encoded(words, np.full(len(words), self._mark is None))
+            return ids, starts, np.where(blank, starts, ends)
+        first, broken = (pc.starts_with(words, x) for x in ("\x02", "\x01"))
+        bare = pc.utf8_slice_codeunits(words, 1)
+        inner = pc.match_substring_regex(words, r"[\t\r]")
+        spelled = pc.if_else(pc.and_(broken, inner), pc.binary_join_element_wise("\n", bare, ""), pc.if_else(pc.or_(first, broken), bare, pc.binary_join_element_wise(" ", words, "")))
+        inner, broken = inner.to_numpy(zero_copy_only=False), broken.to_numpy(zero_copy_only=False)
+        empty = pc.equal(spelled, "").to_numpy(zero_copy_only=False)
+        ids, starts, ends = self._encoded(spelled, blank | inner | empty | (self._mark is None))
+        starts[broken & ~inner] -= 1
+        return ids, starts, ends
+
+    def _joined(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of texts that can be cut, and the bounds of each text's ids.
+
+        A piece follows a space, or, if it starts with a sign, a line break (1) or nothing (2).
+        """
+        if self._spaced:
+            texts = pc.binary_join_element_wise("\x02", pc.replace_substring(texts, "\n", " \x01"), "")
+        texts = pc.replace_substring_regex(texts, _MARKED, "\\1 \x02\\2" if self._spaced else "\\1 \\2")
+        split = pc.split_pattern(texts, " ") if self._spaced else pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        ids, starts, ends = self._pieces(coded.dictionary)
+        at = coded.indices.to_numpy()
+        n = (ends - starts)[at]
+        upto = np.cumsum(n)
+        places = np.repeat((starts[at] - (upto - n)).astype(np.int32), n)
+        places += np.arange(len(places), dtype=np.int32)
+        of_text = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(split), 0).to_numpy()))
+        return ids[places], np.append(0, upto)[of_text]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; none for null."""
-        group: list[str | None] = []
-        chars = 0
-        for text in texts:
-            group.append(text)
-            chars += len(text or "")
-            if chars >= _CHARS:
-                yield from self._group(group)
-                group, chars = [], 0
-        yield from self._group(group)
+        apart = pc.fill_null(pc.match_substring_regex(texts, _ODD + _AMID * self._spaced), False)
+        ids, bounds = self._joined(pc.if_else(apart, pa.scalar(None, pa.string()), texts))
+        raw, ends = ids.tobytes(), (4 * bounds).tolist()
+        out = [raw[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        for k in np.flatnonzero(apart.to_numpy(zero_copy_only=False)).tolist():
+            out[k] = self._whole(texts[k].as_py()).tobytes()
+        return out
+
+    def groups(self, batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[bytes]]]:
+        """For batches of (id, text): the ids of many rows, and each row's token ids."""
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.column(1).nbytes
+            if size >= GROUP_BYTES:
+                yield self._group(held)
+                held, size = [], 0
+        if held:
+            yield self._group(held)
+
+    def _group(self, batches: list[pa.RecordBatch]) -> tuple[pa.Array, list[bytes]]:
+        return pa.concat_arrays([b.column(0) for b in batches]), self.encode(pa.concat_arrays([b.column(1) for b in batches]))
