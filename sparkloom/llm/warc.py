@@ -11,6 +11,7 @@ Spark's own writer and reader store the files, so archives live wherever Spark d
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from functools import partial
 
@@ -111,7 +112,7 @@ def _parsed(batches):
     for batch in batches:
         for archive in batch.column(0).to_pylist():
             rows, held = [], 0
-            for h, block in parse(archive):
+            for h, block in parse(gzip.decompress(archive)):
                 kind, name = h["warc-type"], h["warc-record-id"].strip("<>")
                 length = h.get("x-payload-length")
                 segment, origin = h.get("warc-segment-number"), h.get("warc-segment-origin-id")
@@ -156,7 +157,7 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     files = max(1, -(-size // FILE_BYTES))
     # spread by record, so that no file is long and continuations leave their origins' files
     records = records.select(F.col("value").cast("string").alias("value")).repartition(files, F.xxhash64("value"))
-    records.write.option("lineSep", "\r\n\r\n").text(path)
+    records.write.options(lineSep="\r\n\r\n", compression="gzip").text(path)
 
 
 def _numbered(rows: DataFrame, repeats: DataFrame) -> DataFrame:
