@@ -2,7 +2,7 @@
 
 Each page is an HTTP response with a chunked body. A record whose block is longer than a segment is
 written as a first segment and continuation records, which name the first one's id as their origin
-and may stand in other files. Reading groups the segments by origin, orders them by number,
+and may stand in the next file. Reading groups the segments by origin, orders them by number,
 verifies the total length that the last one states, and undoes the chunked framing. Pages with the
 payload of another page are written as revisit records without payload.
 
@@ -62,27 +62,41 @@ def _record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + lines.encode() + b"\r\n" + block
 
 
-def _written(batches, segment_bytes: int):
+def _records(batches, segment_bytes: int):
     """The records of pages, without the two line ends that close each."""
     for batch in batches:
-        out = []
-        for html, name, page, kind, refers, ref_name, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for html, n, name, page, kind, refers, ref_name, digest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             common = [("WARC-Date", "1970-01-01T00:00:00Z"), ("WARC-Payload-Digest", f"sha1:{digest}")]
             common += [("WARC-Target-URI", f"urn:x-page:{page}")] if page is not None else []
-            body = (html or "").encode()
             if kind == "revisit":
                 profile = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-                more = [("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{name}>"), ("WARC-Profile", profile), ("WARC-Refers-To", f"<{ref_name}>"), ("WARC-Refers-To-Target-URI", f"urn:x-page:{refers}"), ("X-Payload-Length", str(len(body)))]
-                out.append(_record(more + common, _HTTP))
+                more = [("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{name}>"), ("WARC-Profile", profile), ("WARC-Refers-To", f"<{ref_name}>"), ("WARC-Refers-To-Target-URI", f"urn:x-page:{refers}"), ("X-Payload-Length", str(n))]
+                yield _record(more + common, _HTTP)
                 continue
-            block = _HTTP + chunked(body)
+            block = _HTTP + chunked(html.encode())
             parts = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
             first = [("WARC-Type", "response"), ("WARC-Record-ID", f"<{name}>"), ("Content-Type", "application/http; msgtype=response")]
-            out.append(_record(first + common + ([("WARC-Segment-Number", "1")] if len(parts) > 1 else []), parts[0]))
+            yield _record(first + common + ([("WARC-Segment-Number", "1")] if len(parts) > 1 else []), parts[0])
             for k, part in enumerate(parts[1:], 2):
                 own = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{name}:{k}>"), ("WARC-Segment-Origin-ID", f"<{name}>"), ("WARC-Segment-Number", str(k)), ("WARC-Date", "1970-01-01T00:00:00Z")]
-                out.append(_record(own + ([("WARC-Segment-Total-Length", str(len(block)))] if k == len(parts) else []), part))
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+                yield _record(own + ([("WARC-Segment-Total-Length", str(len(block)))] if k == len(parts) else []), part)
+
+
+def _written(batches, segment_bytes: int):
+    """The records of pages as archives of about FILE_BYTES, without the two line ends that close each."""
+    held, size = [], 0
+    for record in _records(batches, segment_bytes):
+        held.append(record)
+        size += len(record)
+        if size >= FILE_BYTES:
+            yield _archive(held)
+            held, size = [], 0
+    if held:
+        yield _archive(held)
+
+
+def _archive(records: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([b"\r\n\r\n".join(records)], pa.binary())], ["value"])
 
 
 def _page_of(uri: str | None) -> int | None:
@@ -149,15 +163,13 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     name = lambda page, nth: F.concat(F.lit("urn:x-record:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit("."), nth.cast("string"), F.lit("."), F.left("digest", F.lit(8)))
     kept = F.col("keep").isNull() | (F.col("page").eqNullSafe(F.col("keep")) & (F.col("nth") == 1))
     out = joined.select(
-        "html", name(F.col("page"), F.col("nth")).alias("name"), "page", F.when(kept, "response").otherwise("revisit").alias("kind"),
+        F.when(kept, F.col("html")).alias("html"), "n", name(F.col("page"), F.col("nth")).alias("name"), "page", F.when(kept, "response").otherwise("revisit").alias("kind"),
         F.when(~kept, F.col("keep")).alias("refers"), F.when(~kept, name(F.col("keep"), F.lit(1))).alias("ref_name"), "digest",
     )
     records = out.mapInArrow(partial(_written, segment_bytes=segment_bytes), "value binary")
-    size = rows.agg(F.sum(F.col("n") + 800)).first()[0] or 0
-    files = max(1, -(-size // FILE_BYTES))
-    # spread by record, so that no file is long and continuations leave their origins' files
-    records = records.select(F.col("value").cast("string").alias("value")).repartition(files, F.xxhash64("value"))
-    records.write.options(lineSep="\r\n\r\n", compression="gzip").text(path)
+    # an archive a row and a row a file: files are bounded without another exchange
+    records = records.select(F.col("value").cast("string").alias("value"))
+    records.write.options(lineSep="\r\n\r\n", compression="gzip", maxRecordsPerFile=1).text(path)
 
 
 def _numbered(rows: DataFrame, repeats: DataFrame) -> DataFrame:
@@ -169,43 +181,65 @@ def _numbered(rows: DataFrame, repeats: DataFrame) -> DataFrame:
     return single.unionByName(several)
 
 
-def _finished(batches):
-    """Digests and lengths of whole responses, from their blocks in order."""
+_PAGE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+
+
+def _pages(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, kinds, strict=True)], [x.split()[0] for x in _PAGE.split(", ")])
+
+
+def _response(name: str, page: int | None, digest: str, block: bytes) -> tuple:
+    """The row of a response with this block; raises ValueError if its payload doesn't have its digest."""
+    payload = payload_of(block)
+    made = hashlib.sha1(payload, usedforsecurity=False).hexdigest()
+    if made != digest:
+        raise ValueError(f"the payload of {name} doesn't have its digest")
+    return page, len(payload), made, "response", None
+
+
+def _unsegmented(batches):
+    """Rows of the revisits and of the responses that stand in one record."""
+    for batch in batches:
+        for archive in batch.column(0).to_pylist():
+            rows = []
+            for h, block in parse(gzip.decompress(archive)):
+                page, digest = _page_of(h.get("warc-target-uri")), h.get("warc-payload-digest", "sha1:")[5:]
+                if h["warc-type"] == "revisit":
+                    rows.append((page, int(h["x-payload-length"]), digest, "revisit", _page_of(h["warc-refers-to-target-uri"])))
+                elif h["warc-type"] == "response" and "warc-segment-number" not in h:
+                    rows.append(_response(h["warc-record-id"], page, digest, block))
+            yield _pages(rows)
+
+
+def _reassembled(batches):
+    """Rows of the responses in segments, from their segments in order."""
     for batch in batches:
         rows = []
         for name, page, digest, total, parts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            numbers = [p["segment"] for p in parts]
             block = b"".join(p["block"] for p in parts)
-            if numbers not in ([None], list(range(1, len(parts) + 1))) or (total is not None and total != len(block)) or (total is None and len(parts) > 1) or (total is None and numbers == [1]):
+            if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or total != len(block):
                 raise ValueError(f"the segments of {name} aren't whole")
-            payload = payload_of(block)
-            made = hashlib.sha1(payload, usedforsecurity=False).hexdigest()
-            if made != digest:
-                raise ValueError(f"the payload of {name} doesn't have its digest")
-            rows.append((name, page, len(payload), made))
-        columns = zip(*rows) if rows else [()] * 4
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["name", "page_id", "payload_bytes", "payload_digest"])
+            rows.append(_response(name, page, digest, block))
+        yield _pages(rows)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 64)
+    return spark.read.format("binaryFile").load(path).select("content")
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """All records of the archives in a folder, segments apart."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 64)
-    return files.mapInArrow(_parsed, _RECORD)
+    return _files(spark, path).mapInArrow(_parsed, _RECORD)
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` for each page of the archives."""
-    records = read_records(spark, path)
     part = F.struct("segment", "block")
-    whole = records.where("record_type = 'response' and segment is null").select(F.col("record_id").alias("name"), "page_id", "digest", F.lit(None).cast("long").alias("total"), F.array(part).alias("parts"))
-    cut = records.where("segment is not null").groupBy(F.col("origin").alias("name"))
-    merged = cut.agg(F.max("page_id").alias("page_id"), F.max(F.nullif("digest", F.lit(""))).alias("digest"), F.max("total").alias("total"), F.array_sort(F.collect_list(part)).alias("parts"))
-    kind = "name string, page_id long, payload_bytes long, payload_digest string"
-    responses = [x.mapInArrow(_finished, kind) for x in (whole, merged)]
-    plain = [x.select("page_id", "payload_bytes", "payload_digest", F.lit("response").alias("record_type"), F.lit(None).cast("long").alias("refers_to")) for x in responses]
-    revisits = records.where("record_type = 'revisit'").select("page_id", "payload_bytes", F.col("digest").alias("payload_digest"), F.col("record_type"), "refers_to")
-    return plain[0].unionByName(plain[1]).unionByName(revisits)
+    segments = read_records(spark, path).where("segment is not null").groupBy(F.col("origin").alias("name"))
+    cut = segments.agg(F.max("page_id").alias("page_id"), F.max(F.nullif("digest", F.lit(""))).alias("digest"), F.max("total").alias("total"), F.array_sort(F.collect_list(part)).alias("parts"))
+    return _files(spark, path).mapInArrow(_unsegmented, _PAGE).unionByName(cut.mapInArrow(_reassembled, _PAGE))
 
 
 def archive_round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
