@@ -8,8 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows that one Arrow batch may hold; with texts of 100 kB that is some 25 MB.
-ARROW_ROWS = 256
+#: Rows and bytes (about) that one Arrow batch may hold.
+ARROW_ROWS, ARROW_BYTES = 256, 4 << 20
 
 _local_folder: list[str] = []
 
@@ -22,6 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def small_batches(spark: SparkSession) -> None:
     """Bound the memory of Arrow batches that hold whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BYTES)
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -156,10 +156,12 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     return train([(r["lang"], np.array(r["at"], np.int64), np.array(r["n"], np.float64)) for r in rows])
 
 
-def _named(batches, model: Model | None):
+def _named(batches, model: Model | None, text_at: int | None = None):
+    """Adds the predictions to the batches; the text is ``_t``, which goes, or a field of ``_row``, which stays."""
     for batch in batches:
         langs, scores, rejected = [], [], []
-        for text in batch.column("_t").to_pylist():
+        for text in batch.column("_t") if text_at is None else batch.column("_row").field(text_at):
+            text = text.as_py()
             counts = features(text)
             if model is None or counts is None:
                 langs.append(UNDETERMINED), scores.append(0.0), rejected.append(True)
@@ -199,7 +201,7 @@ def accepted(docs: DataFrame) -> DataFrame:
     model = fit(docs.where(~held_out()))
     names = docs.columns
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("_row")
-    packed = docs.select(F.col("text").alias("_t"), row)
-    schema = StructType([*packed.select("_row").schema, *StructType.fromDDL(_ADDED)])
-    out = packed.mapInArrow(partial(_named, model=model), schema)
+    packed = docs.select(row)
+    schema = StructType([*packed.schema, *StructType.fromDDL(_ADDED)])
+    out = packed.mapInArrow(partial(_named, model=model, text_at=names.index("text")), schema)
     return out.where(~F.col("rejected")).select(*[F.col(f"_row.c{i}").alias(c) for i, c in enumerate(names)])
