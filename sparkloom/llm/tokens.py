@@ -122,7 +122,7 @@ class Encoder:
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; none for null."""
         apart = pc.fill_null(pc.match_substring_regex(texts, _ODD + _AMID * self._spaced), False)
-        ids, bounds = self._joined(pc.if_else(apart, pa.scalar(None, pa.string()), texts))
+        ids, bounds = self._joined(pc.replace_with_mask(texts, apart, pa.scalar(None, pa.string())))
         raw, ends = ids.data.cast("B"), (4 * bounds).tolist()
         out = [bytes(raw[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
         for k in np.flatnonzero(apart.to_numpy(zero_copy_only=False)).tolist():

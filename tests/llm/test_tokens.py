@@ -10,6 +10,7 @@ from sparkloom.llm import tokens
 from sparkloom.llm.queries import tokenizer_path
 
 PARTS = ["a", "b", "The", "é", "ß", "'s", "don't", " ", " ", "  ", "   ", "\n", "\n\n", " \n", "\n ", "\t", "\r", "\r\n", ".", ",", "!", "?", "1", "42", "-", "_", "中", "文", "🙂", "\x00", "\x01", "\x02", "\x0b", "\x1c", "\x85", "\xa0", "​", "<unk>", "[SEP]", "<|endoftext|>", "</s>", "x" * 60]
+PARTS += ["H", "h", "I", "J", "\u0331", "\u0307", "\u030c", "É", "ß", "İ", "\u212a", "Straße ", "élan, ", "÷", "ª"]
 
 
 @pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
@@ -28,3 +29,10 @@ def test_pieces_give_the_ids_of_whole_texts(monkeypatch, name, spaced, pieces):
     assert list(made.groups([])) == []
     empty = pa.record_batch([pa.array([], pa.int64()), pa.array([], pa.string())], ["id", "t"])
     assert [(len(i), x) for i, x in made.groups([empty])] == [(0, [])]
+
+
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_slice_of_an_array(name, spaced):
+    texts = ["à b", None, "odd\u2003space", "ça va, et là. ", "Die Größe", "", None, "fin \x85 ."] * 9
+    made = tokens.Encoder(tokenizer_path(name), spaced)
+    assert made.encode(pa.array(texts).slice(5, 40)) == made.encode(pa.array(texts[5:45]))
