@@ -25,8 +25,9 @@ GROUP_BYTES, CALL_PIECES = 12 << 20, 10_000
 _ODD = "[\x01\x02\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    　﻿]"
 #: A space or line break in the midst or at the end of white space, before which no text may be cut.
 _AMID = r"|[\t\n\r ][ \n](?:[\t\n\r ]|$)"
-#: Marks between a Latin letter and a space; words come back less often with marks than without.
-_MARKED = "([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-ɏ])([.,;:!?]+[ \n])"
+#: Marks between a Latin letter and a space; words come back less often with marks than without. In lower case
+#: a capital I with a dot ends in a combining mark, which joins the marks.
+_MARKED = "([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-ɏ])([.,;:!?]+[ \n])"
 
 
 class Encoder:
