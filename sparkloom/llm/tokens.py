@@ -5,11 +5,15 @@ the places where a text is cut here (before a space or a line break that is not
 white space, and between Latin letters and the punctuation after them), so the ids of the pieces
 are the ids of the text. Arrow splits the texts of a group and numbers its distinct pieces, which
 are encoded together, with a separator between them whose id no piece can have; numpy puts the ids
-of the texts together. Nothing is kept from one group to the next, so memory is bounded by a group.
+of the texts together. Where a tokenizer's file says that it ignores case, texts are lower-cased
+before, and pieces of lower-case letters alone go to its model without the steps that leave such
+pieces as they are. Nothing is kept from one group to the next, so memory is bounded by a group.
 """
 
 from __future__ import annotations
 
+import copy
+import json
 import os
 import sys
 import types
@@ -29,6 +33,13 @@ _AMID = r"|[\t\n\r ][ \n](?:[\t\n\r ]|$)"
 #: a capital I with a dot ends in a combining mark, which joins the marks.
 _MARKED = "([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-ɏ])([.,;:!?]+[ \n])"
 
+#: Words that the steps below leave as they are, and marks that may join an ASCII letter in one case alone.
+_LETTERS, _COMBINING = "^[a-zß-öø-ÿ]+$", "|[\u0300-\u036f]"
+#: The steps of tokenizers that ignore case and take runs of letters as words.
+_CASELESS = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_WORDS = {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True}
+_BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
 
 class Encoder:
     """``spaced``: white space counts (byte-level vocabularies); otherwise it only separates."""
@@ -43,6 +54,22 @@ class Encoder:
         self._between = "\n" if spaced else " \x01 "
         mark = self._whole(self._between)
         self._mark = int(mark[0]) if len(mark) == 1 else None
+        self._letters = None if spaced else self._for_letters(path)
+
+    def _for_letters(self, path: str) -> Encoder | None:
+        """The encoder of words of lower-case letters, if the tokenizer has the steps above."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            steps = json.load(f)
+        if steps["normalizer"] != _CASELESS or steps["pre_tokenizer"] != {"type": "Sequence", "pretokenizers": [_WORDS, _BYTES]}:
+            return None
+        made = copy.copy(self)
+        made._made, made._between = Tokenizer(self._made.model), " ! "
+        made._made.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        mark = made._whole(made._between)
+        made._mark = int(mark[0])
+        return made if len(mark) == 1 else None
 
     @staticmethod
     def of(path: str, spaced: bool) -> Encoder:
@@ -86,8 +113,17 @@ class Encoder:
         """For distinct words: ids, and where those of each start and end."""
         blank = pc.equal(words, "").to_numpy(zero_copy_only=False)
         if not self._spaced:
-            ids, starts, ends = self._encoded(words, np.full(len(words), self._mark is None))
-            return ids, starts, np.where(blank, starts, ends)
+            if self._letters is None:
+                ids, starts, ends = self._encoded(words, np.full(len(words), self._mark is None))
+                return ids, starts, np.where(blank, starts, ends)
+            plain = pc.match_substring_regex(words, _LETTERS).to_numpy(zero_copy_only=False)
+            runs, size, starts, ends = [], 0, np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+            for made, at in ((self._letters, np.flatnonzero(plain)), (self, np.flatnonzero(~plain))):
+                ids, first, last = made._encoded(words.take(pa.array(at)), np.full(len(at), made._mark is None))
+                starts[at], ends[at] = first + size, last + size
+                runs.append(ids)
+                size += len(ids)
+            return np.concatenate(runs), starts, np.where(blank, starts, ends)
         first, broken = (pc.starts_with(words, x) for x in ("\x02", "\x01"))
         bare = pc.utf8_slice_codeunits(words, 1)
         inner = pc.match_substring_regex(words, r"[\t\r]")
@@ -105,6 +141,8 @@ class Encoder:
         """
         if self._spaced:
             texts = pc.binary_join_element_wise("\x02", pc.replace_substring(texts, "\n", " \x01"), "")
+        if self._letters is not None:
+            texts = pc.ascii_lower(texts)
         texts = pc.replace_substring_regex(texts, _MARKED, "\\1 \x02\\2" if self._spaced else "\\1 \\2")
         split = pc.split_pattern(texts, " ") if self._spaced else pc.ascii_split_whitespace(texts)
         coded = split.flatten().dictionary_encode()
@@ -122,7 +160,7 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers; none for null."""
-        apart = pc.fill_null(pc.match_substring_regex(texts, _ODD + _AMID * self._spaced), False)
+        apart = pc.fill_null(pc.match_substring_regex(texts, _ODD + _AMID * self._spaced + _COMBINING * (self._letters is not None)), False)
         ids, bounds = self._joined(pc.replace_with_mask(texts, apart, pa.scalar(None, pa.string())))
         raw, ends = ids.data.cast("B"), (4 * bounds).tolist()
         out = [bytes(raw[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
