@@ -21,7 +21,7 @@ from sparkloom.llm.common import fresh_path, small_batches
 from sparkloom.llm.tokens import Encoder
 
 #: Rows of a file: few while there are few files, more when there would be too many.
-FILE_ROWS, MANY_FILES, LARGE_FILE_ROWS = 2048, 512, 65_536
+FILE_ROWS, MANY_FILES, LARGE_FILE_ROWS = 4096, 512, 65_536
 WRITER = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
