@@ -4,10 +4,17 @@ Letter n-grams are hashed to rows of an embedding table; a text is the mean of i
 linear layer with softmax names the language. Both are trained by stochastic gradient descent in
 numpy, on a bounded sample of labelled documents. A part of the sample is kept from training to
 calibrate the scores by temperature and to set the score under which a text is rejected.
+
+A softmax is sure of texts that are in none of its languages. So the score is the chance of the
+language times the text's familiarity, which falls with its surprise: how far the mean log
+likelihood of its n-grams in that language lies under the usual one, less so for short texts. Where
+it falls is set between calibration texts in their own language and texts from outside: the same
+ones as if their language had not been learnt, and their letters shuffled.
 """
 
 from __future__ import annotations
 
+import random
 from functools import partial
 
 import numpy as np
@@ -24,7 +31,11 @@ BUCKETS, DIMENSIONS, ORDERS = 1 << 14, 16, (1, 2, 3)
 EPOCHS, RATE = 6, 0.5
 CALIBRATION_SHARE = 4  # one sampled document of so many
 #: Share of well-labelled calibration documents that rejection may cost, and its least score.
-REJECTED_SHARE, SURELY_KEPT = 0.0, 0.5
+REJECTED_SHARE, SURELY_KEPT = 0.005, 0.5
+#: n-grams at which a text's surprise counts 0.7 times; fewer calibration texts than LEAST_HELD are no evidence.
+SHORT, LEAST_HELD = 100, 20
+#: Familiarity of the least familiar calibration text that is kept.
+FAMILIAR = 0.95
 UNDETERMINED = "und"
 _STEP = 1 << 18
 
@@ -65,6 +76,9 @@ class Model:
     def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray):
         self.languages, self.table, self.bias = languages, table, bias
         self.temperature, self.threshold = 1.0, 0.0
+        self.likely = np.zeros((BUCKETS, len(languages)), np.float32)
+        self.usual = np.zeros(len(languages))
+        self.middle, self.slope = np.inf, 1.0
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(counts)
@@ -72,9 +86,20 @@ class Model:
         p = np.exp(z - z.max())
         return p / p.sum()
 
+    def surprise(self, at: np.ndarray, counts: np.ndarray, k: int) -> float:
+        """How far the text's n-grams are from language k's, in nats a n-gram."""
+        n = counts.sum()
+        return float((self.usual[k] - counts @ self.likely[at, k] / n) * np.sqrt(n / (n + SHORT)))
+
+    def familiarity(self, counts: np.ndarray, k: int) -> float:
+        if not np.isfinite(self.middle):
+            return 1.0
+        at = np.flatnonzero(counts)
+        return float(1 / (1 + np.exp(np.clip(self.slope * (self.surprise(at, counts[at], k) - self.middle), -50, 50))))
+
 
-def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Model | None:
-    """Fit on (language, buckets, counts) rows in a given order; None without rows."""
+def train(rows: list[tuple[str, np.ndarray, np.ndarray]], shuffled: list[tuple[np.ndarray, np.ndarray]] = (), seed: int = 7) -> Model | None:
+    """Fit on (language, buckets, counts) rows in a given order; None without rows. shuffled: texts in no language."""
     rows = [r for r in rows if len(r[1])]
     if not rows:
         return None
@@ -102,38 +127,77 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], seed: int = 7) -> Mode
             b -= rate * p
             e[at] -= rate * (part * len(at))[:, None] * back
     model = Model(languages, (e @ w).astype(np.float64), b)
-    _calibrate(model, [(y[i], rows[i][1], share[i]) for i in held])
+    seen = np.full((BUCKETS, len(languages)), 0.5)
+    for i in fit:
+        seen[rows[i][1], y[i]] += rows[i][2]
+    model.likely = np.log(seen / seen.sum(axis=0)).astype(np.float32)
+    _calibrate(model, [(y[i], rows[i][1], share[i], rows[i][2]) for i in held], list(shuffled))
     return model
 
 
-def _calibrate(model: Model, held: list[tuple]) -> None:
-    """Temperature of least log loss; a threshold that keeps all but REJECTED_SHARE of right texts."""
+def _calibrate(model: Model, held: list[tuple], shuffled: list[tuple]) -> None:
+    """Temperature of least log loss, not under 1; familiarity; a threshold that keeps all but REJECTED_SHARE of right texts."""
     if not held:
         return
-    z = np.array([part @ model.table[at] + model.bias for _, at, part in held])
+    z = np.array([part @ model.table[at] + model.bias for _, at, part, _ in held])
     y = np.array([h[0] for h in held])
 
     def chances(t: float) -> np.ndarray:
         p = np.exp((z - z.max(axis=1, keepdims=True)) / t)
         return p / p.sum(axis=1, keepdims=True)
 
-    loss = {t: -np.log(chances(t)[np.arange(len(y)), y] + 1e-12).mean() for t in np.geomspace(0.05, 20, 60)}
+    loss = {t: -np.log(chances(t)[np.arange(len(y)), y] + 1e-12).mean() for t in np.geomspace(1, 20, 60)}
     model.temperature = float(min(loss, key=loss.get))
     p = chances(model.temperature)
-    right = np.sort(p.max(axis=1)[p.argmax(axis=1) == y])
+    ok = np.flatnonzero(p.argmax(axis=1) == y)
+    _learn_outside(model, [held[i] for i in ok], z[ok], shuffled)
+    own = np.array([model.familiarity(_dense(at, n), k) for k, at, _, n in held])
+    right = np.sort((p.max(axis=1) * own)[ok])
     if len(right):
         model.threshold = float(min(SURELY_KEPT, right[int(REJECTED_SHARE * len(right))]))
 
 
+def _dense(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    counts = np.zeros(BUCKETS)
+    counts[at] = n
+    return counts
+
+
+def _learn_outside(model: Model, held: list[tuple], z: np.ndarray, shuffled: list[tuple]) -> None:
+    """Where familiarity falls: amid the most surprising texts kept in their own language and the least surprising ones from outside."""
+    if len(held) < LEAST_HELD:
+        return
+    mean = [float(n @ model.likely[at, k] / n.sum()) for k, at, _, n in held]
+    of = [[m for m, h in zip(mean, held, strict=True) if h[0] == k] for k in range(len(model.languages))]
+    model.usual = np.array([np.median(x or mean) for x in of])
+    inside = np.sort([model.surprise(at, n, k) for k, at, _, n in held])
+    outside = [model.surprise(at, n, int(model.scores(_dense(at, n)).argmax())) for at, n in shuffled]
+    if len(model.languages) > 1:
+        for (k, at, _, n), others in zip(held, z.copy(), strict=True):
+            others[k] = -np.inf
+            outside.append(model.surprise(at, n, int(others.argmax())))
+    kept = float(inside[-1 - int(REJECTED_SHARE * len(inside))])
+    least = float(np.quantile(outside, 0.05)) if outside else kept
+    model.middle = max(kept + 0.1, (kept + least) / 2)
+    model.slope = float(np.log(FAMILIAR / (1 - FAMILIAR)) / (model.middle - kept))
+
+
+def _shuffled(text: str) -> str:
+    letters = list(text)
+    random.Random(len(letters)).shuffle(letters)
+    return "".join(letters)
+
+
 def _sparse(batches):
     for batch in batches:
-        at, n = [], []
-        for text in batch.column(2).to_pylist():
-            counts = features(text)
-            counts = np.zeros(1, np.int64) if counts is None else counts
-            own = np.flatnonzero(counts)
-            at.append(own.astype(np.int32)), n.append(counts[own].astype(np.int32))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.list_(pa.int32())), pa.array(n, pa.list_(pa.int32()))], ["h", "lang", "at", "n"])
+        made: dict[str, list] = {"at": [], "n": [], "mixed_at": [], "mixed_n": []}
+        for h, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            for which, x in (("", text), ("mixed_", _shuffled(text) if h % CALIBRATION_SHARE == 0 else None)):
+                counts = features(x)
+                counts = np.zeros(1, np.int64) if counts is None else counts
+                own = np.flatnonzero(counts)
+                made[f"{which}at"].append(own.astype(np.int32)), made[f"{which}n"].append(counts[own].astype(np.int32))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x, pa.list_(pa.int32())) for x in made.values()]], ["h", "lang", *made])
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
@@ -151,9 +215,10 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     share = F.element_at(F.create_map(*[F.lit(x) for r in top for x in (r["lang"], min(1.0, each / r["n"]))]), F.col(lang_col))
     h = F.xxhash64(F.col(id_col).cast("string"), F.lit("sample"))
     wanted = labelled.where(F.col(lang_col).isin([r["lang"] for r in top]) & (F.pmod(h, F.lit(1 << 30)) < share * (1 << 30)))
-    sparse = wanted.select(h.alias("h"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t")).mapInArrow(_sparse, "h long, lang string, at array<int>, n array<int>")
+    sparse = wanted.select(h.alias("h"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t")).mapInArrow(_sparse, "h long, lang string, at array<int>, n array<int>, mixed_at array<int>, mixed_n array<int>")
     rows = sparse.orderBy("h", "lang", "at", "n").limit(SAMPLE_TOTAL).collect()
-    return train([(r["lang"], np.array(r["at"], np.int64), np.array(r["n"], np.float64)) for r in rows])
+    own, mixed = ([(np.array(r[f"{x}at"], np.int64), np.array(r[f"{x}n"], np.float64)) for r in rows] for x in ("", "mixed_"))
+    return train([(r["lang"], *x) for r, x in zip(rows, own, strict=True)], [x for x in mixed if len(x[0])])
 
 
 def _named(batches, model: Model | None, text_at: int | None = None):
@@ -168,7 +233,8 @@ def _named(batches, model: Model | None, text_at: int | None = None):
                 continue
             p = model.scores(counts)
             k = int(p.argmax())
-            langs.append(model.languages[k]), scores.append(float(p[k])), rejected.append(bool(p[k] < model.threshold))
+            score = float(p[k]) * model.familiarity(counts, k)
+            langs.append(model.languages[k]), scores.append(score), rejected.append(score < model.threshold)
         made = {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64()), "rejected": pa.array(rejected, pa.bool_())}
         rest = {n: batch.column(n) for n in batch.schema.names if n != "_t"}
         yield pa.RecordBatch.from_arrays([*rest.values(), *made.values()], [*rest, *made])

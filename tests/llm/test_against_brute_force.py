@@ -172,6 +172,27 @@ def test_languages(spark):
     assert identify(frame(spark, [], "doc_id long, text string, lang string")).count() == 0
 
 
+def test_foreign_and_junk_texts_are_rejected(spark):
+    import base64
+
+    from sparkloom.llm.langid import accepted
+
+    rng = random.Random(3)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    outside = [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem i sumieniem",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+        "人人生而自由在尊严和权利上一律平等他们赋有理性和良心并应以兄弟关系的精神相对待",
+        "static int f(struct bar *b, size_t n) { for (int i = 0; i < n; ++i) if (b[i].x != NULL) printf(b[i].y); return -EINVAL; }",
+        *[base64.b64encode(rng.randbytes(150)).decode() for _ in range(20)],
+        *["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(150)) for _ in range(20)],
+    ]
+    more = spark.createDataFrame([(10**9 + 4 * i, t, None) for i, t in enumerate(outside)], docs.schema)
+    kept = {r["doc_id"] for r in accepted(docs.unionAll(more)).select("doc_id").collect()}
+    assert not [i for i in kept if i >= 10**9] and len(kept) >= 0.99 * docs.count()
+
+
 def test_archives(spark):
     from sparkloom.llm.warc import archive_round_trip, chunked, unchunked
 
