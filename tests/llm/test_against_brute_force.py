@@ -279,3 +279,16 @@ def test_licences(spark):
     got = {(r["doc_id"], r["license"]) for r in scan_licenses(frame(spark, rows)).collect()}
     assert got == {(1, "MIT"), (2, "Apache-2.0-line")}
     assert scan_licenses(frame(spark, [])).count() == 0
+
+
+def test_altered_licences_are_found_at_every_alignment(spark):
+    from sparkloom.llm.licenses import TEMPLATES, scan_licenses
+
+    words = TEMPLATES["GPL-3.0"].split()
+    changed = [*words[:21], "altered", *words[22:]]
+    longer = [*words[:21], *"or so we were told".split(), *words[21:]]
+    apart = [*words[:15], *["filler"] * 200, *words[15:]]
+    rows = [(1000 * k + i, " ".join(["filler"] * i + w + ["word"] * 60)) for k, w in enumerate((changed, longer, apart)) for i in range(12)]
+    rows.append((None, " ".join(changed)))
+    got = {(r["doc_id"], r["license"]): r["share"] for r in scan_licenses(frame(spark, rows)).collect()}
+    assert got.keys() == {(i, "GPL-3.0") for i, _ in rows} and min(got.values()) >= 0.75
