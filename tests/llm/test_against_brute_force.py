@@ -67,6 +67,20 @@ def test_disclosing_words_are_found_where_they_stand(spark):
     assert "Zebulon" not in clean[0] and "@" not in clean[0] and clean[100] == rows[8][1]
 
 
+def test_disclosing_words_count_in_whole_documents(spark):
+    from sparkloom.llm.pii import find_personal_data, sanitised
+
+    far = "the report about the call " * 40
+    rows = [(i, f"write to z{i % 2}@corp.example.com {far} Zebulon {far} zebulon again") for i in range(8)]
+    rows += [(None, f"z0@corp.example.com {far}")]
+    rows += [(100 + i, f"write again to the report about the call number {i} at noon") for i in range(200)]
+    got = {r["doc_id"]: r["spans"] for r in find_personal_data(frame(spark, rows)).collect()}
+    at = [m for k in range(2) for m in (rows[0][1].lower().index("zebulon", 1100 * k),)]
+    assert got[0] == "email:9:28," + ",".join(f"term:{a}:{a + 7}" for a in at)
+    clean = {r["doc_id"]: r["text"] for r in sanitised(frame(spark, rows)).collect()}
+    assert all("zebulon" not in clean[i].lower() and "report" in clean[i] for i in range(8)) and clean[100] == rows[9][1]
+
+
 def test_token_files(spark, documents):
     from tokenizers import Tokenizer
 
