@@ -128,8 +128,8 @@ def logistic_predictions(spark, d):
     split = dataset.stratified_split(rows, "label", F.col("doc_id").cast("string"))
     names = [r["label"] for r in split.groupBy("label").count().orderBy("label").collect()]
     indexed = split.withColumn("y", F.array_position(F.array(*[F.lit(x) for x in names]), F.col("label")).cast("double") - 1)
-    model = dataset.fit_logistic(dataset.balanced_weights(indexed.where("split = 'train'"), "label"), "y", "text", features=1 << 14, iterations=30)
-    out = model.transform(indexed.where("split = 'test'").withColumn("terms", dataset.terms(F.col("text"))))
+    model = dataset.fit_logistic(dataset.balanced_weights(indexed.where("split = 'train'"), "label"), "y", "text")
+    out = model.transform(indexed.where("split = 'test'"))
     return out.select("doc_id", "label", F.element_at(F.array(*[F.lit(x) for x in names]), F.col("prediction").cast("int") + 1).alias("prediction"))
 
 
