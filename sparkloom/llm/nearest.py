@@ -6,8 +6,9 @@ errors bound how far each product can be from the true one. A pair whose upper b
 best lower bounds found so far can't be among the nearest; the others are computed again in double
 precision, and small heaps keep each query's best. The result is exact.
 
-Queries come in blocks of bounded size, each sent to all candidate tiles; a block that stays within
-its bound is the only thing that is broadcast.
+Queries are dealt into blocks of bounded bytes and candidates into parts. One exchange brings each
+part of the candidates together with each block of queries: a task holds its block and streams its
+part past it in tiles. The driver sees two counts, whatever the size.
 """
 
 from __future__ import annotations
@@ -19,11 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import saved
+from sparkloom.llm.common import small_batches
 
-#: Bytes of query vectors in a block, and candidates in a tile.
-BLOCK_BYTES, TILE = 32 << 20, 2048
-QUERY_TILE = 1024
+#: Bytes of query vectors in a block and of candidate vectors in a part (less, where that leaves cores idle), candidates and queries in a tile.
+BLOCK_BYTES, PART_BYTES, TILE, QUERY_TILE = 16 << 20, 256 << 20, 2048, 1024
 
 
 def _quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -67,53 +67,89 @@ class _Heap:
         self.score[first + who], self.id[first + who] = np.take_along_axis(s, pick, 1), np.take_along_axis(i, pick, 1)
 
 
-def _tiles(batches, dim: int):
-    ids, rows, n = [], [], 0
+def _segments(batches):
+    """Yields (block, whether these are candidates, ids, vectors) for runs of rows of one block and side."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        ids.append(batch.column(0).to_numpy())
-        rows.append(batch.column(1).flatten().to_numpy().astype(np.float64).reshape(-1, dim))
-        n += batch.num_rows
-        if n >= TILE:
-            yield np.concatenate(ids), np.concatenate(rows)
-            ids, rows, n = [], [], 0
-    if n:
-        yield np.concatenate(ids), np.concatenate(rows)
-
-
-def _search(batches, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """The k best candidates of this partition for each query of the block."""
-    dim = queries.shape[1]
-    kind = np.float32 if dim * 127 * 127 < 1 << 24 else np.float64
-    qq, qs, ql, qe = _quantised(queries)
-    qq = qq.astype(kind)
-    heap = _Heap(len(queries), k)
-    for ids, rows in _tiles(batches, dim):
+        keys = [batch.column(c).to_numpy() for c in ("dim", "part", "block", "side")]
+        new = np.flatnonzero(np.any([x[1:] != x[:-1] for x in keys], axis=0)) + 1
+        for a, b in zip([0, *new], [*new, batch.num_rows], strict=True):
+            dim = int(keys[0][a])
+            rows = batch.column("v").slice(a, b - a).flatten().to_numpy().astype(np.float64).reshape(-1, dim)
+            yield (dim, int(keys[1][a]), int(keys[2][a])), bool(keys[3][a]), batch.column("id").to_numpy()[a:b], rows
+
+
+class _Block:
+    """A block of queries, past which one part of the candidates streams."""
+
+    def __init__(self, k: int):
+        self.k, self.heap, self.n = k, None, 0
+        self.asked: list = []
+        self.held: list = []
+
+    def add(self, candidates: bool, ids: np.ndarray, rows: np.ndarray) -> None:
+        (self.held if candidates else self.asked).append((ids, rows))
+        self.n += len(ids) * candidates
+        if self.n >= TILE:
+            self.compare()
+
+    def compare(self) -> None:
+        """The held candidates as one tile against all queries."""
+        if self.held and self.asked:
+            if self.heap is None:
+                self.ids, self.rows = (np.concatenate(x) for x in zip(*self.asked, strict=True))
+                self.heap = _Heap(len(self.ids), self.k)
+                self.int8 = _quantised(self.rows)
+            ids, rows = (np.concatenate(x) for x in zip(*self.held, strict=True))
+            self._tile(ids, rows)
+        self.held, self.n = [], 0
+
+    def _tile(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        kind = np.float32 if rows.shape[1] * 127 * 127 < 1 << 24 else np.float64
+        qq, qs, ql, qe = self.int8
         cq, cs, cl, ce = _quantised(rows)
         cq = cq.astype(kind).T
         norm = cl + ce
-        for a in range(0, len(queries), QUERY_TILE):
-            b = min(len(queries), a + QUERY_TILE)
-            near = (qq[a:b] @ cq).astype(np.float64) * qs[a:b, None] * cs
+        for a in range(0, len(qq), QUERY_TILE):
+            b = min(len(qq), a + QUERY_TILE)
+            near = (qq[a:b].astype(kind) @ cq).astype(np.float64) * qs[a:b, None] * cs
             error = (qe[a:b, None] * norm + ql[a:b, None] * ce) * (1 + 1e-9) + 1e-12 * (ql[a:b, None] + qe[a:b, None]) * norm
-            near[query_ids[a:b, None] == ids] = -np.inf
-            least = heap.score[a:b, -1]
-            if len(ids) > k:
-                least = np.maximum(least, np.partition(near - error, len(ids) - k, axis=1)[:, len(ids) - k])
+            near[self.ids[a:b, None] == ids] = -np.inf
+            least = self.heap.score[a:b, -1]
+            if len(ids) > self.k:
+                least = np.maximum(least, np.partition(near - error, len(ids) - self.k, axis=1)[:, len(ids) - self.k])
             q, c = np.nonzero((near + error >= least[:, None]) & (near > -np.inf))
-            heap.merge(a, q, ids[c], exact_product(queries[a + q], rows[c]))
-    q, place = np.nonzero(heap.score > -np.inf)
-    for a in range(0, len(q), 50_000):
-        i, j = q[a : a + 50_000], place[a : a + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(query_ids[i]), pa.array(heap.id[i, j]), pa.array(heap.score[i, j])], ["query_id", "vec_id", "score"])
+            self.heap.merge(a, q, ids[c], exact_product(self.rows[a + q], rows[c]))
+
+    def best(self):
+        """The k best candidates of this part for each query of the block."""
+        self.compare()
+        if self.heap is None:
+            return
+        q, place = np.nonzero(self.heap.score > -np.inf)
+        for a in range(0, len(q), 50_000):
+            i, j = q[a : a + 50_000], place[a : a + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(self.ids[i]), pa.array(self.heap.id[i, j]), pa.array(self.heap.score[i, j])], ["query_id", "vec_id", "score"])
+
+
+def _search(batches, k: int):
+    """The best candidates of each block; rows come by block, queries before candidates."""
+    now, block = None, _Block(k)
+    for key, candidates, ids, rows in _segments(batches):
+        if key != now:
+            yield from block.best()
+            now, block = key, _Block(k)
+        block.add(candidates, ids, rows)
+    yield from block.best()
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id, v``: rows with an id and a vector of finite components that are not all zero."""
+    """``id, v``: one vector for each id, of finite components that are not all zero."""
     v = F.col(vector_col).cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    return vectors.where(F.col(id_col).isNotNull() & F.coalesce(good, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+    rows = vectors.where(F.col(id_col).isNotNull() & F.coalesce(good, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
+    return rows.groupBy("id").agg(F.min("v").alias("v"))
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -121,23 +157,23 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
 
     All other candidates if there are fewer; ties go to the smaller id. Null, zero and non-finite
     vectors, and null ids, take no part; only vectors of one dimension are compared with one
-    another. A candidate never has its query's id; of repeated candidates one counts. Other
-    columns are ignored; empty tables give an empty result.
+    another. Repeated rows count once; of an id with several vectors the smallest counts (by their
+    components in order), among candidates as among queries. A candidate never has its query's id.
+    Other columns are ignored; empty tables give an empty result.
     """
+    spark = vectors.sparkSession
+    small_batches(spark)
     good, asked = usable(vectors, id_col, vector_col), usable(queries, id_col, vector_col)
-    parts = None
-    for size in asked.groupBy(F.size("v").alias("dim")).agg(F.count("*").alias("n")).collect():
-        dim, blocks = size["dim"], -(-size["n"] * size["dim"] * 8 // BLOCK_BYTES)
-        tiles = good.where(F.size("v") == dim)
-        for block in range(blocks):
-            mine = asked.where((F.size("v") == dim) & (F.pmod(F.xxhash64("id"), F.lit(blocks)) == block)).dropDuplicates(["id"]).orderBy("id").collect()
-            ids = np.array([r["id"] for r in mine], np.int64)
-            found = tiles.mapInArrow(partial(_search, query_ids=ids, queries=np.array([r["v"] for r in mine], np.float64), k=k), "query_id long, vec_id long, score double")
-            if blocks > 1:
-                found, _ = saved(found, "block")
-            parts = found if parts is None else parts.unionAll(found)
-    if parts is None:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    best = parts.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return best.select("query_id", "rank", "vec_id", "score")
+    size = lambda df: df.agg(F.coalesce(F.sum(F.size("v") * 8), F.lit(0)).alias("bytes"), F.count("*").alias("n")).first()
+    of_asked, of_good = size(asked), size(good)
+    blocks = -(-of_asked["bytes"] // BLOCK_BYTES) or 1
+    parts = max(-(-of_good["bytes"] // PART_BYTES), min(spark.sparkContext.defaultParallelism, -(-of_good["n"] // TILE))) or 1
+    dealt = lambda n, salt: F.pmod(F.xxhash64(F.lit(salt), "id"), F.lit(n)).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    rows = asked.select(F.size("v").alias("dim"), all_of(parts).alias("part"), dealt(blocks, "block").alias("block"), F.lit(0).alias("side"), "id", "v")
+    rows = rows.unionAll(good.select(F.size("v"), dealt(parts, "part"), all_of(blocks), F.lit(1), "id", "v"))
+    order = ["dim", "part", "block"]
+    met = rows.repartition(parts * blocks, *order).sortWithinPartitions(*order, "side", "id")
+    found = met.mapInArrow(partial(_search, k=k), "query_id long, vec_id long, score double")
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

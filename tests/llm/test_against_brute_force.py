@@ -306,3 +306,31 @@ def test_altered_licences_are_found_at_every_alignment(spark):
     rows.append((None, " ".join(changed)))
     got = {(r["doc_id"], r["license"]): r["share"] for r in scan_licenses(frame(spark, rows)).collect()}
     assert got.keys() == {(i, "GPL-3.0") for i, _ in rows} and min(got.values()) >= 0.75
+
+
+def nearest_by_hand(rows, k=20, step=20):
+    """Each query's best candidates; of an id with several vectors the smallest counts."""
+    one = {}
+    for i, v in rows:
+        if i is not None and v and None not in v and all(abs(x) < float("inf") for x in v) and any(v):
+            one[i] = min(one.get(i, v), v)
+    out = []
+    for q, v in one.items():
+        near = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in one.items() if i != q and len(w) == len(v))
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(near[:k], 1) if q % step == 0]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("blocks", [1 << 20, 512])
+def test_nearest_with_repeated_rows_ties_and_two_vectors_of_an_id(spark, monkeypatch, blocks):
+    from sparkloom.llm import nearest as module
+
+    monkeypatch.setattr(module, "BLOCK_BYTES", blocks)
+    monkeypatch.setattr(module, "TILE", 16)
+    rng = random.Random(1)
+    rows = [(0, [1.0, 0.5, 0.0])] + [(1, [1.0, 1.0, 0.0])] * 40 + [(i, [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(2, 90)]
+    rows += [(40, [0.0, 3.0, 1.0]), (40, [0.0, -3.0, 1.0]), (None, [1.0, 1.0, 1.0]), (100, [1.0, 2.0]), (101, [2.0, 1.0])]
+    df = frame(spark, rows, "vec_id long, embedding array<float>").coalesce(1)
+    got = sorted(map(tuple, module.nearest(df, df.where("vec_id % 20 = 0")).collect()))
+    assert got == nearest_by_hand(rows)
+    assert module.nearest(df.limit(0), df.limit(0)).count() == 0 and module.nearest(df.limit(0), df).count() == 0
