@@ -93,6 +93,26 @@ r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20"""
 
 
+_LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CONTAMINATION_SQL = rf"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({_LOWER_SQL}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+p AS (SELECT DISTINCT item, n, w[k : k + n - 1] AS p FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM i WHERE len(w) > 0)),
+x AS (SELECT r, n, k, w[k : k + n - 1] AS p FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM p) WHERE len(w) >= n)),
+h AS (SELECT r, x.n, k, item FROM x JOIN p ON x.n = p.n AND x.p = p.p),
+c AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS j FROM (SELECT DISTINCT r, n, k FROM h)) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)"""
+_DUPLICATES_SQL = rf"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER_SQL}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[k : k + 4], ' ') AS s FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+b AS (SELECT x.r AS a, y.r AS b, count(*) AS shared FROM s x JOIN s y ON x.s = y.s AND x.r <> y.r GROUP BY ALL),
+l AS (SELECT a, b FROM b JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * shared >= 75 * (x.n + y.n - shared)),
+reach(r, m) AS (SELECT r, r FROM d UNION SELECT l.b, reach.m FROM reach JOIN l ON l.a = reach.r),
+c AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.m GROUP BY reach.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d JOIN c USING (r) LEFT JOIN n USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express a query; the others are tested against plain restatements."""
-    return {"op6_warc": _WARC_SQL, "op9_nearest": _NEAREST_SQL}
+    return {"op3_decontaminate": _CONTAMINATION_SQL, "op6_warc": _WARC_SQL, "op8_near_dedup": _DUPLICATES_SQL, "op9_nearest": _NEAREST_SQL}
