@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import fresh_path, small_batches
 from sparkloom.llm.tokens import Encoder
 
-#: Rows of a file: few while there are few files, more when there would be too many.
-FILE_ROWS, MANY_FILES, LARGE_FILE_ROWS = 4096, 512, 65_536
+#: Bytes of text in a file (about); a file's texts are encoded as a stream, so its size doesn't bound memory.
+FILE_BYTES = 32 << 20
+#: Characters by which texts of one id are ordered over the files.
+TIE_CHARS = 32
 WRITER = {
     "compression": "zstd",
     "parquet.writer.version": "PARQUET_2_0",
@@ -55,14 +57,17 @@ def _encoded(batches, path: str, spaced: bool, end_id: int):
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, spaced: bool = False, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode whole texts (null: empty), append end_id to each, write them by ascending id.
 
-    Null ids come first; rows that share an id are ordered by text; an empty table gives files
-    without rows. Other columns are ignored.
+    Null ids come first; rows that share an id are ordered by the first TIE_CHARS characters of
+    their texts, and beyond that stand in any order (a place in the input divides them, so that many
+    copies of a row are not one file); an empty table gives files without rows. Other columns are
+    ignored.
     """
     small_batches(docs.sparkSession)
-    rows = docs.count()
-    files = max(1, min(-(-rows // FILE_ROWS), MANY_FILES), -(-rows // LARGE_FILE_ROWS))
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
-    ordered = source.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id", "t")
+    size = source.agg(F.sum(F.octet_length("t")), F.count("*")).first()
+    files = -(-((size[0] or 0) + 8 * size[1]) // FILE_BYTES) or 1
+    placed = source.select("doc_id", "t", F.left(F.col("t"), F.lit(TIE_CHARS)).alias("head"), F.monotonically_increasing_id().alias("place"))
+    ordered = placed.repartitionByRange(files, "doc_id", "head", "place").select("doc_id", "t").sortWithinPartitions("doc_id", "t")
     made = ordered.mapInArrow(lambda it: _encoded(it, tokenizer, spaced, end_id), SCHEMA)
     made.write.options(**WRITER).parquet(path)
 
