@@ -94,8 +94,8 @@ def _sign(batches):
             bands.append(((band ^ (band >> np.uint64(32))) * _MIX).astype(np.int64))
             sigs.append(((m >> np.uint64(8)) & np.uint64(255)).astype(np.uint8).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())],
-            ["id", "n", "k", "bands", "sig"],
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary()), batch.column(2)],
+            ["id", "n", "k", "bands", "sig", "t"],
         )
 
 
@@ -141,13 +141,14 @@ def _linked(batches, percent: int):
 
 
 def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n, k, bands, sig`` for each row: set size, print of the set, band keys, signature.
+    """``id, n, k, bands, sig, t`` for each row: set size, print of the set, band keys, signature, print of the text.
 
     A null text or one without words has n = 0 and null in the rest.
     """
     small_batches(docs.sparkSession)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    return source.mapInArrow(_sign, "id long, n long, k long, bands array<long>, sig binary")
+    text = F.col(f"`{text_col}`")
+    source = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text.alias("t"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"))
+    return source.mapInArrow(_sign, "id long, n long, k long, bands array<long>, sig binary, t long")
 
 
 def _sets_of(classes: DataFrame, asked: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -264,15 +265,8 @@ def _between_components(rows: DataFrame, classes: DataFrame, docs: DataFrame, id
     return full.mapInArrow(lambda it: _joining(it, percent), "a long, b long")
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for each row.
-
-    Null and empty texts, and texts of white space, are linked with nothing; a text of fewer than
-    five words is one shingle. Repeated rows and equal texts are one class. Rows with a null id
-    take part but don't name a component (a component of such rows alone has a null id, and
-    kept is null). Rows that share an id but not a text are compared by their texts. Any other
-    columns are ignored; an empty table gives an empty result.
-    """
+def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """``id, t, n, root, component``: for each row its component's root and smallest id; null for texts without words."""
     signed, _ = saved(sign(docs, id_col, text_col), "signed")
     classes = signed.where("n > 0").groupBy("k").agg(
         F.min("id").alias("least"), F.min(F.coalesce("id", F.lit(-(2**63)))).alias("first"), F.first("bands").alias("bands"), F.first("sig").alias("sig")
@@ -298,26 +292,45 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     named = classes.select("k", "least").join(found.withColumnRenamed("node", "k"), "k", "left").select("k", "least", F.coalesce("root", "k").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component"))
-    named = named.join(ids, "root").select("k", "component")
-    out = signed.select("id", "n", "k").join(named, "k", "left")
+    named = named.join(ids, "root").select("k", "root", "component")
+    return signed.select("id", "t", "n", "k").join(named, "k", "left").select("id", "t", "n", "root", "component")
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` for each row.
+
+    Null and empty texts, and texts of white space, are linked with nothing; a text of fewer than
+    five words is one shingle. Repeated rows and equal texts are one class. Rows with a null id
+    take part but don't name a component (a component of such rows alone has a null id, and
+    kept is null). Rows that share an id but not a text are compared by their texts. Any other
+    columns are ignored; an empty table gives an empty result.
+    """
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
-    return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
+    rows = _grouped(docs, id_col, text_col, percent)
+    return rows.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), (F.col("id") == component).alias("kept"))
 
 
-def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id names their component, with all their columns.
+def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75) -> DataFrame:
+    """One row of docs for each group of near-duplicates, with all its columns, and all rows without words.
 
-    Of repeated rows one stays; rows of groups that have null ids alone all stay.
+    It is that with the smallest id, or, of rows with one id or none, the smallest print of the text;
+    of repeated rows (equal id and text) one stays. Rows go by id and text, so that another text
+    under the same id stays if its own group needs it.
     """
-    gone = near_dedup(docs, id_col, text_col).where("kept = false").select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.join(gone, F.col(f"`{id_col}`").cast("long") == F.col("_gone"), "left_anti")
-    return _one_of_each(rest, id_col, text_col)
-
-
-def _one_of_each(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Drops repeated rows of one id and text; nothing is shuffled unless an id repeats."""
-    ids = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1")
-    if not ids.limit(1).count():
-        return docs
-    repeated = docs.join(ids.select(id_col), id_col, "left_semi").dropDuplicates([id_col, text_col])
-    return docs.join(ids.select(id_col), id_col, "left_anti").unionByName(repeated)
+    rows, _ = saved(_grouped(docs, id_col, text_col, percent).where("n > 0").select("id", "t", "root"), "grouped")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "t")
+    best = rows.groupBy("root").agg(F.min(order).alias("best"), F.count("*").alias("n")).where("n > 1")
+    several = rows.join(best, "root")
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("t") == F.col("best.t"))
+    gone, _ = saved(several.where(~stays).select("id", "t").distinct(), "gone")
+    twice, _ = saved(several.where(stays).groupBy("id", "t").agg(F.count("*").alias("n")).where("n > 1").select("id", "t"), "twice")
+
+    names = docs.columns
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row")
+    own = docs.select(row, F.col(f"`{id_col}`").cast("long").alias("own"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("print"))
+    same = F.col("own").eqNullSafe(F.col("id")) & (F.col("print") == F.col("t"))
+    left = own.join(gone, same, "left_anti")
+    if twice.limit(1).count():
+        one = left.join(twice, same, "left_semi").groupBy("own", "print").agg(F.min("row").alias("row")).select("row", "own", "print")
+        left = left.join(twice, same, "left_anti").unionByName(one)
+    return left.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])
