@@ -1,9 +1,10 @@
 """Plain restatements of the contracts, for small tables."""
 
 import hashlib
+import math
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 KINDS = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -45,6 +46,30 @@ def personal_data(rows):
     return out
 
 
+def all_spans(rows, support=3, generalise=0.8, common=0.1):
+    """(doc_id, spans): base spans, then the disclosing words, by counting in whole rows."""
+    entities, words, base = [], [], []
+    for _, text in rows:
+        text = text or ""
+        spans = base_spans(text)
+        values = {text[a:b].lower() for _, a, b in spans}
+        values |= {"@" + v.split("@")[1] for v in list(values) if "@" in v}
+        base.append(spans), entities.append(values), words.append({w.lower() for w in re.findall(r"[^\W\d_]{3,}", text)})
+    n = len(rows)
+    n_e = Counter(e for x in entities for e in x)
+    n_t = Counter(w for x in words for w in x)
+    n_te = Counter((e, w) for x, y in zip(entities, words, strict=True) for e in x for w in y)
+    share = {(e, w): math.log2(n * c / (n_t[w] * n_e[e])) / math.log2(n / n_e[e]) for (e, w), c in n_te.items() if c >= support and support <= n_e[e] <= common * n}
+    out = []
+    for (doc_id, text), own, spans in zip(rows, entities, base, strict=True):
+        terms = []
+        for m in re.finditer(r"[^\W\d_]{3,}", text or ""):
+            if any(share.get((e, m[0].lower()), 0) >= generalise for e in own) and not any(a < m.end() and m.start() < b for _, a, b in spans):
+                terms.append(("term", m.start(), m.end()))
+        out.append((doc_id, ",".join(f"{k}:{a}:{b}" for k, a, b in [*spans, *terms])))
+    return out
+
+
 def tokens(rows, encode, end_id):
     out, start = [], 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):

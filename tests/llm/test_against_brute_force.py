@@ -81,6 +81,39 @@ def test_disclosing_words_count_in_whole_documents(spark):
     assert all("zebulon" not in clean[i].lower() and "report" in clean[i] for i in range(8)) and clean[100] == rows[9][1]
 
 
+def test_disclosing_words_against_a_restatement(spark):
+    from sparkloom.llm.pii import find_personal_data
+
+    rng = random.Random(4)
+    names = ["Zebulon", "Quimby", "Ñandú", "Rosalind"]
+    rows = []
+    for i in range(400):
+        words = [rng.choice("river stone glass lamp ocean field market winter".split()) for _ in range(rng.randint(5, 40))]
+        if i % 9 == 0:
+            who = rng.randrange(4)
+            words[2:2] = [names[who] if rng.random() < 0.9 else "nobody", f"{names[who].lower().encode('ascii', 'ignore').decode()}@corp{who % 3}.example.com", "call", f"+1 555 010 {i:04d}"]
+        rows.append((i if i % 7 else None, " ".join(words)))
+    rows += [rows[9]] * 3 + [(1, None), (2, "")]
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["spans"]) for r in find_personal_data(frame(spark, rows)).collect())
+    want = sorted((d is not None, d or 0, s) for d, s in brute.all_spans(rows))
+    assert got == want and any("term" in x[2] for x in got)
+
+
+def test_a_text_of_very_many_addresses_takes_linear_time(spark):
+    import time
+
+    from sparkloom.llm.pii import find_personal_data, sanitised
+
+    took = []
+    for n in (20, 40_000):
+        docs = frame(spark, [(1, "x " + " ".join(f"a{i}@b{i % 50}.example.org" for i in range(n)) + " end")])
+        began = time.time()
+        assert find_personal_data(docs).first()["n_email"] == n
+        assert sanitised(docs).first()["text"] == "x " + " ".join(["[EMAIL]"] * n) + " end"
+        took.append(time.time() - began)
+    assert took[1] < took[0] + 8
+
+
 def test_token_files(spark, documents):
     from tokenizers import Tokenizer
 
@@ -144,7 +177,8 @@ def test_near_duplicates(spark, documents):
         expected = brute.near_duplicates(rows)
         same(near_dedup(frame(spark, rows)), expected)
         kept = first_of_groups(frame(spark, rows)).select("doc_id", "text").collect()
-        assert {tuple(r) for r in kept} == {r for r, e in zip(rows, expected, strict=True) if e[-1] is not False}
+        # a row without id stays only if its group has no id at all
+        assert {tuple(r) for r in kept} == {r for r, e in zip(rows, expected, strict=True) if e[-1] or (e[-1] is None and e[2] is None)}
     assert near_dedup(frame(spark, [])).count() == 0
 
 
@@ -173,6 +207,67 @@ def test_shards(spark, documents):
     assert shard_by_bytes(frame(spark, [])).count() == 0
 
 
+def test_equal_texts_share_a_shard_unless_they_are_larger(spark):
+    from sparkloom.llm.sharding import shard_by_bytes
+
+    rng = random.Random(9)
+    rows = [(i, "half a shard " * 4) for i in range(500)] + [(1000 + i, "nearly a shard " * 9) for i in range(330)]
+    rows += [(3000 + i, "".join(rng.choice("abcdef ") for _ in range(rng.randint(1, 200)))) for i in range(3000)] + [(None, None), (7, ""), (8, None)]
+    for more in ([], [(9000 + i, "copies that fill three shards " * 5) for i in range(1200)], [(9000, "one row repeated " * 10)] * 1200):
+        got = shard_by_bytes(frame(spark, rows + more)).collect()
+        sizes, texts = [0] * 8, {}
+        for r in got:
+            sizes[r["shard"]] += r["size"]
+            texts.setdefault((r["text_crc32"], r["size"]), set()).add(r["shard"])
+        assert max(sizes) - min(sizes) <= 0.03 * sum(sizes) / 8
+        assert sum(len(x) > 1 for x in texts.values()) == bool(more)
+        assert all(sorted(r["slot"] for r in got if r["shard"] == k) == list(range(sum(r["shard"] == k for r in got))) for k in range(8))
+
+
+def test_written_shards_hold_all_rows_and_columns(spark, tmp_path):
+    from sparkloom.llm.sharding import write_shards
+
+    rows = [*odd_rows(), (9, "x"), (9, "x")]
+    docs = frame(spark, rows).withColumnsRenamed({"n": "slot", "k": "_id"})
+    write_shards(docs, str(tmp_path / "out"), 3)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.columns == [*docs.columns, "shard"]
+    same(back, [tuple(r) for r in docs.collect()], docs.columns)
+    with pytest.raises(ValueError):
+        write_shards(docs.withColumnRenamed("slot", "shard"), str(tmp_path / "no"))
+
+
+def clashing(spark, rows):
+    """Rows with columns of names that the operators use themselves."""
+    names = ["_id", "_t", "_i", "_h", "_edits", "_gone", "row", "new", "own", "print", "t", "id", "h", "k", "edits", "c0", "root", "n"]
+    return spark.createDataFrame(rows, "doc_id long, text string").withColumns({x: F.lit(i) for i, x in enumerate(names)})
+
+
+def test_filters_keep_columns_of_any_name(spark, items):
+    from sparkloom.llm.decontaminate import without_contaminated
+    from sparkloom.llm.langid import accepted
+    from sparkloom.llm.near_dedup import first_of_groups
+    from sparkloom.llm.pii import sanitised
+
+    rows = [*odd_rows(), (11, f"mail x.y@z.org {items[0][1]}")]
+    docs = clashing(spark, rows)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for made in (sanitised(docs), first_of_groups(docs), without_contaminated(docs, bench), accepted(docs.withColumn("lang", F.lit("en")))):
+        assert [c for c in made.columns if c != "lang"] == docs.columns
+        assert made.count() and all(r["_id"] == 0 and r["new"] == 7 and r["n"] == 17 for r in made.collect())
+    assert sanitised(docs.limit(0)).count() == 0 and first_of_groups(docs.limit(0)).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    from sparkloom.llm.near_dedup import first_of_groups
+
+    a, b, c = ("alpha beta gamma delta epsilon zeta", "one two three four five six seven", "uno dos tres cuatro cinco seis")
+    rows = [(5, a), (3, a), (None, a), (None, b), (None, b), (7, c), (7, c), (7, b + " other words that are not alike at all"), (3, c), (9, None), (9, None), (None, "")]
+    got = sorted(((r["doc_id"], r["text"]) for r in first_of_groups(frame(spark, rows)).collect()), key=str)
+    want = [(3, a), (3, c), (None, b), (7, b + " other words that are not alike at all"), (9, None), (9, None), (None, "")]
+    assert got == sorted(want, key=str)
+
+
 def test_languages(spark):
     from sparkloom.llm.langid import accepted, identify
 
