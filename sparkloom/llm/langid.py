@@ -25,8 +25,8 @@ from pyspark.sql.types import StructType
 
 from sparkloom.llm.common import small_batches
 
-#: The documented bounds of what the classifier is fitted on.
-LANGUAGES, SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 256, 800, 8_000
+#: The documented bounds of what the classifier is fitted on: rows of a language (expected), and in all.
+SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 800, 8_000
 BUCKETS, DIMENSIONS, ORDERS = 1 << 14, 16, (1, 2, 3)
 EPOCHS, RATE = 6, 0.5
 CALIBRATION_SHARE = 4  # one sampled document of so many
@@ -57,39 +57,61 @@ def features(text: str | None) -> np.ndarray | None:
     if not text or not any(map(str.isalpha, text)):
         return None
     counts = np.zeros(BUCKETS, np.int64)
+    before = np.zeros(1, np.uint32)  # the last letters of the block before, so that a cut changes nothing
     for at in range(0, len(text), _STEP):
-        c = np.concatenate([[0], _codes(text[at : at + _STEP]), [0]]).astype(np.uint32)
+        own = _codes(text[at : at + _STEP])
+        own = own[1:] if len(own) and own[0] == 0 == before[-1] else own
+        c = np.concatenate([before, own, np.zeros(int(at + _STEP >= len(text)), np.uint32)]).astype(np.uint32)
         for n in ORDERS:
-            if len(c) < n:
+            g = c[max(0, len(before) - n + 1) :]
+            if len(g) < n:
                 continue
-            h = np.full(len(c) - n + 1, n, np.uint32)
+            h = np.full(len(g) - n + 1, n, np.uint32)
             for i in range(n):
-                h = (h ^ c[i : i + len(h)]) * np.uint32(0x9E3779B1)
+                h = (h ^ g[i : i + len(h)]) * np.uint32(0x9E3779B1)
                 h ^= h >> np.uint32(15)
-            counts += np.bincount(h[c[(n - 1) // 2 : (n - 1) // 2 + len(h)] != 0] & np.uint32(BUCKETS - 1), minlength=BUCKETS)
+            counts += np.bincount(h[g[(n - 1) // 2 : (n - 1) // 2 + len(h)] != 0] & np.uint32(BUCKETS - 1), minlength=BUCKETS)
+        before = c[-(max(ORDERS) - 1) :]
     return counts
 
 
 class Model:
-    """Languages, the table of bucket scores (embedding times softmax weights), temperature, threshold."""
+    """Languages, embeddings, softmax weights, temperature, threshold, and the log likelihoods of the buckets seen in each language."""
 
-    def __init__(self, languages: list[str], table: np.ndarray, bias: np.ndarray):
-        self.languages, self.table, self.bias = languages, table, bias
+    def __init__(self, languages: list[str], embedding: np.ndarray, weights: np.ndarray, bias: np.ndarray):
+        self.languages, self.embedding, self.weights, self.bias = languages, embedding, weights, bias
         self.temperature, self.threshold = 1.0, 0.0
-        self.likely = np.zeros((BUCKETS, len(languages)), np.float32)
+        self.likely: list[tuple[np.ndarray, np.ndarray, float]] = []
         self.usual = np.zeros(len(languages))
         self.middle, self.slope = np.inf, 1.0
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         at = np.flatnonzero(counts)
-        z = (counts[at] @ self.table[at] / max(1, counts.sum()) + self.bias) / self.temperature
+        z = (counts[at] @ self.embedding[at] / max(1, counts.sum()) @ self.weights + self.bias) / self.temperature
         p = np.exp(z - z.max())
         return p / p.sum()
 
     def surprise(self, at: np.ndarray, counts: np.ndarray, k: int) -> float:
         """How far the text's n-grams are from language k's, in nats a n-gram."""
         n = counts.sum()
-        return float((self.usual[k] - counts @ self.likely[at, k] / n) * np.sqrt(n / (n + SHORT)))
+        return float((self.usual[k] - self.mean_likelihood(at, counts, k)) * np.sqrt(n / (n + SHORT)))
+
+    def mean_likelihood(self, at: np.ndarray, counts: np.ndarray, k: int) -> float:
+        """The mean log likelihood of the text's n-grams in language k."""
+        seen, logs, unseen = self.likely[k]
+        place = np.minimum(np.searchsorted(seen, at), len(seen) - 1)
+        return float(counts @ np.where(seen[place] == at, logs[place], unseen) / counts.sum())
+
+    def learn_likelihoods(self, rows: list[tuple[int, np.ndarray, np.ndarray]]) -> None:
+        """From (language, buckets, counts) rows; every bucket counts a half more."""
+        for k in range(len(self.languages)):
+            seen = np.full(BUCKETS, 0.5)
+            for y, at, n in rows:
+                if y == k:
+                    seen[at] += n
+            own = np.flatnonzero(seen > 0.5)
+            own = own if len(own) else np.zeros(1, np.int64)
+            self.likely.append((own, np.log(seen[own] / seen.sum()), float(np.log(0.5 / seen.sum()))))
 
     def familiarity(self, counts: np.ndarray, k: int) -> float:
         if not np.isfinite(self.middle):
@@ -126,11 +148,8 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], shuffled: list[tuple[n
             w -= rate * np.outer(mean, p)
             b -= rate * p
             e[at] -= rate * (part * len(at))[:, None] * back
-    model = Model(languages, (e @ w).astype(np.float64), b)
-    seen = np.full((BUCKETS, len(languages)), 0.5)
-    for i in fit:
-        seen[rows[i][1], y[i]] += rows[i][2]
-    model.likely = np.log(seen / seen.sum(axis=0)).astype(np.float32)
+    model = Model(languages, e, w, b)
+    model.learn_likelihoods([(y[i], rows[i][1], rows[i][2]) for i in fit])
     _calibrate(model, [(y[i], rows[i][1], share[i], rows[i][2]) for i in held], list(shuffled))
     return model
 
@@ -139,7 +158,7 @@ def _calibrate(model: Model, held: list[tuple], shuffled: list[tuple]) -> None:
     """Temperature of least log loss, not under 1; familiarity; a threshold that keeps all but REJECTED_SHARE of right texts."""
     if not held:
         return
-    z = np.array([part @ model.table[at] + model.bias for _, at, part, _ in held])
+    z = np.array([part @ model.embedding[at] @ model.weights + model.bias for _, at, part, _ in held])
     y = np.array([h[0] for h in held])
 
     def chances(t: float) -> np.ndarray:
@@ -167,7 +186,7 @@ def _learn_outside(model: Model, held: list[tuple], z: np.ndarray, shuffled: lis
     """Where familiarity falls: amid the most surprising texts kept in their own language and the least surprising ones from outside."""
     if len(held) < LEAST_HELD:
         return
-    mean = [float(n @ model.likely[at, k] / n.sum()) for k, at, _, n in held]
+    mean = [model.mean_likelihood(at, n, k) for k, at, _, n in held]
     of = [[m for m, h in zip(mean, held, strict=True) if h[0] == k] for k in range(len(model.languages))]
     model.usual = np.array([np.median(x or mean) for x in of])
     inside = np.sort([model.surprise(at, n, k) for k, at, _, n in held])
@@ -203,19 +222,21 @@ def _sparse(batches):
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Train on a sample of labelled rows of docs: those with the smallest hashes of id and text.
 
-    At most SAMPLE_PER_LANGUAGE documents of a language are expected, of the LANGUAGES most
-    frequent ones, and SAMPLE_TOTAL at most in all; whole texts, as counts of buckets.
+    At most SAMPLE_PER_LANGUAGE documents of a language are expected, and SAMPLE_TOTAL at most in
+    all; whole texts, as counts of buckets. Rows without id are told apart by their texts.
     """
     small_batches(docs.sparkSession)
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    top = labelled.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
-    if not top:
+    lang, text = F.col(f"`{lang_col}`"), F.col(f"`{text_col}`")
+    labelled = docs.where(lang.isNotNull() & text.isNotNull())
+    labelled = labelled.select(F.xxhash64(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), text).alias("h"), lang.alias("lang"), text.alias("t"))
+    of = labelled.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = of.count()
+    if not languages:
         return None
-    each = min(SAMPLE_PER_LANGUAGE, max(1, SAMPLE_TOTAL // len(top)))
-    share = F.element_at(F.create_map(*[F.lit(x) for r in top for x in (r["lang"], min(1.0, each / r["n"]))]), F.col(lang_col))
-    h = F.xxhash64(F.col(id_col).cast("string"), F.lit("sample"))
-    wanted = labelled.where(F.col(lang_col).isin([r["lang"] for r in top]) & (F.pmod(h, F.lit(1 << 30)) < share * (1 << 30)))
-    sparse = wanted.select(h.alias("h"), F.col(lang_col).alias("lang"), F.col(text_col).alias("t")).mapInArrow(_sparse, "h long, lang string, at array<int>, n array<int>, mixed_at array<int>, mixed_n array<int>")
+    each = min(SAMPLE_PER_LANGUAGE, max(1, SAMPLE_TOTAL // languages))
+    of = F.broadcast(of) if languages <= SAMPLE_TOTAL else of
+    wanted = labelled.join(of, "lang").where(F.pmod("h", F.lit(1 << 30)) * F.col("n") < each * (1 << 30))
+    sparse = wanted.select("h", "lang", "t").mapInArrow(_sparse, "h long, lang string, at array<int>, n array<int>, mixed_at array<int>, mixed_n array<int>")
     rows = sparse.orderBy("h", "lang", "at", "n").limit(SAMPLE_TOTAL).collect()
     own, mixed = ([(np.array(r[f"{x}at"], np.int64), np.array(r[f"{x}n"], np.float64)) for r in rows] for x in ("", "mixed_"))
     return train([(r["lang"], *x) for r, x in zip(rows, own, strict=True)], [x for x in mixed if len(x[0])])
