@@ -5,8 +5,8 @@ the two unpacked pieces that together fill the widened gap most tightly, if they
 Only lengths matter for that, so the plan is made from the histogram of lengths (at most
 ``capacity`` numbers whatever the corpus): a bin's pattern is repeated while its lengths last,
 which is what packing one bin after the other would do. Pieces then find their places by their
-rank among the pieces of equal length, counted in two steps so that a frequent length is spread
-over many tasks.
+rank among the pieces of equal length, counted in two steps in chunks of bounded rows. Pieces of
+capacity, the most of a long document, fill a sequence each and need no rank.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import saved, small_batches
 from sparkloom.llm.tokens import Encoder
 
-CHUNKS = 64
+#: Rows (about) of one length that are ranked by one task.
+CHUNK_ROWS = 250_000
 
 
 def _pieces(batches, path: str, spaced: bool, end_id: int, capacity: int):
@@ -129,13 +130,18 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int =
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("t"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    pieces, _ = saved(source.mapInArrow(partial(_pieces, path=tokenizer, spaced=spaced, end_id=end_id, capacity=capacity), schema), "pieces")
-    dealt = pieces.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(CHUNKS)))
+    made = source.mapInArrow(partial(_pieces, path=tokenizer, spaced=spaced, end_id=end_id, capacity=capacity), schema)
+    pieces, _ = saved(made.withColumn("place", F.monotonically_increasing_id()), "pieces")
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    plan = plan_bins({k: n for k, n in counts.items() if k < capacity}, capacity)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+
+    full = pieces.where(F.col("length") == capacity).select(*columns, (F.col("place") + sum(times for times, _ in plan)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    chunks = F.element_at(F.array(*[F.lit(-(-counts.get(k, 0) // CHUNK_ROWS) or 1) for k in range(1, capacity + 1)]), F.col("length").cast("int"))
+    dealt = pieces.where(F.col("length") < capacity).withColumn("chunk", F.pmod(F.xxhash64("place"), chunks))
     groups = dealt.groupBy("length", "chunk").agg(F.count("*").alias("n"))
-    counts = {r["length"]: r["n"] for r in groups.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    rules = _rules(plan_bins(counts, capacity))
     before = groups.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("chunk")) - F.col("n"))
     own = Window.partitionBy("length", "chunk").orderBy("doc_id", "piece", "ids_crc32")
     ranked = dealt.withColumn("own", F.row_number().over(own) - 1).join(before.drop("n"), ["length", "chunk"])
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("own") + F.col("before")).cast("long").alias("rank"))
-    return ranked.mapInArrow(partial(_placed, rules=rules), f"{schema}, sequence_id long, offset long")
+    ranked = ranked.select(*columns, (F.col("own") + F.col("before")).cast("long").alias("rank"))
+    return ranked.mapInArrow(partial(_placed, rules=_rules(plan)), f"{schema}, sequence_id long, offset long").unionAll(full)
