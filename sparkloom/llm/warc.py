@@ -19,12 +19,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import fresh_path, saved, small_batches
+from sparkloom.llm.common import fresh_path, saved, small_batches, within
 
 #: Bytes of a record's block in one segment, of an HTTP chunk, and of an archive file (about).
 SEGMENT_BYTES, CHUNK_BYTES, FILE_BYTES = 32 << 10, 8 << 10, 16 << 20
 #: Payloads from this size on are stored once.
 REVISIT_BYTES = 1000
+#: Rows that are broadcast at most, and copies of a row that one task numbers.
+BROADCAST_ROWS, COPIES = 500_000, 10_000
 
 _RECORD = "record_id string, record_type string, page_id long, refers_to long, digest string, payload_bytes long, segment int, origin string, total long, block binary"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -149,17 +151,14 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     record each. Other columns are ignored.
     """
     small_batches(pages.sparkSession)
-    html = F.coalesce(F.col(html_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("page"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).alias("n"))
-    slim = rows.select("page", "digest", "n")
+    html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
+    rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).alias("n"))
+    slim, _ = saved(rows.select("page", "digest", "n"), "digests")
     groups = slim.where(F.col("n") >= REVISIT_BYTES).groupBy("digest", "n").agg(F.max("page").alias("keep"), F.count("*").alias("rows")).where("rows > 1 and keep is not null").drop("rows")
-    repeats = slim.groupBy("page", "digest").agg(F.count("*").alias("copies")).where("copies > 1").select("page", "digest", "copies")
-    repeats, _ = saved(repeats, "repeats")
-    if repeats.limit(1).count():
-        named = _numbered(rows, repeats)
-    else:
-        named = rows.withColumn("nth", F.lit(1))
-    joined = named.join(groups, ["digest", "n"], "left")
+    groups, _ = saved(groups, "groups")
+    repeats, _ = saved(slim.groupBy("page", "digest").agg(F.count("*").alias("copies")).where("copies > 1"), "repeats")
+    named = _numbered(rows, repeats) if repeats.limit(1).count() else rows.withColumn("nth", F.lit(1).cast("long"))
+    joined = named.join(F.broadcast(groups) if within(groups, BROADCAST_ROWS) else groups, ["digest", "n"], "left")
     name = lambda page, nth: F.concat(F.lit("urn:x-record:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit("."), nth.cast("string"), F.lit("."), F.left("digest", F.lit(8)))
     kept = F.col("keep").isNull() | (F.col("page").eqNullSafe(F.col("keep")) & (F.col("nth") == 1))
     out = joined.select(
@@ -173,20 +172,32 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
 
 
 def _numbered(rows: DataFrame, repeats: DataFrame) -> DataFrame:
-    """Adds nth, which tells rows of one page id and digest apart."""
-    key = [F.col("page").eqNullSafe(F.col("p2")), F.col("digest") == F.col("d2")]
+    """Adds nth, which tells rows of one page id and digest apart.
+
+    Repeated rows are combined before they are exchanged and dealt out again in parts, so that very
+    many copies of a row aren't one task's.
+    """
     marks = repeats.withColumnsRenamed({"page": "p2", "digest": "d2"})
-    single = rows.join(marks, key[0] & key[1], "left_anti").withColumn("nth", F.lit(1))
-    several = rows.join(marks, key[0] & key[1], "left_semi").withColumn("nth", F.row_number().over(Window.partitionBy("page", "digest").orderBy("n")))
-    return single.unionByName(several)
+    marks = F.broadcast(marks) if within(marks, BROADCAST_ROWS) else marks
+    same = F.col("page").eqNullSafe(F.col("p2")) & (F.col("digest") == F.col("d2"))
+    single = rows.join(marks, same, "left_anti").withColumn("nth", F.lit(1).cast("long"))
+    several = rows.join(marks, same, "left_semi").groupBy("page", "digest", "n").agg(F.first("html").alias("html"), F.count("*").alias("copies"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES}")))
+    dealt = several.select("page", "html", "digest", "n", "copies", part.alias("part")).repartition("page", "digest", "part")
+    nth = F.explode(F.sequence(F.col("part") * COPIES + 1, F.least((F.col("part") + 1) * COPIES, F.col("copies"))))
+    return single.unionByName(dealt.select("page", "html", "digest", "n", nth.alias("nth")))
 
 
 _PAGE = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def _pages(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 5, kinds, strict=True)], [x.split()[0] for x in _PAGE.split(", ")])
+_KINDS = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(x.split() for x in schema.split(", ")), strict=True)
+    columns = zip(*rows, strict=True) if rows else [()] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, k in zip(columns, kinds, strict=True)], list(names))
 
 
 def _response(name: str, page: int | None, digest: str, block: bytes) -> tuple:
@@ -198,18 +209,28 @@ def _response(name: str, page: int | None, digest: str, block: bytes) -> tuple:
     return page, len(payload), made, "response", None
 
 
-def _unsegmented(batches):
-    """Rows of the revisits and of the responses that stand in one record."""
+_PART = f"{_PAGE}, name string, segment int, total long, block binary"
+
+
+def _read(batches):
+    """A row for each record: the page of a revisit or a response in one record, otherwise a segment with its block."""
     for batch in batches:
         for archive in batch.column(0).to_pylist():
-            rows = []
+            rows, held = [], 0
             for h, block in parse(gzip.decompress(archive)):
-                page, digest = _page_of(h.get("warc-target-uri")), h.get("warc-payload-digest", "sha1:")[5:]
-                if h["warc-type"] == "revisit":
-                    rows.append((page, int(h["x-payload-length"]), digest, "revisit", _page_of(h["warc-refers-to-target-uri"])))
-                elif h["warc-type"] == "response" and "warc-segment-number" not in h:
-                    rows.append(_response(h["warc-record-id"], page, digest, block))
-            yield _pages(rows)
+                page, digest, kind = _page_of(h.get("warc-target-uri")), h.get("warc-payload-digest", "sha1:")[5:], h["warc-type"]
+                if kind == "revisit":
+                    rows.append((page, int(h["x-payload-length"]), digest, kind, _page_of(h["warc-refers-to-target-uri"]), None, None, None, None))
+                elif kind == "response" and "warc-segment-number" not in h:
+                    rows.append((*_response(h["warc-record-id"], page, digest, block), None, None, None, None))
+                elif kind in ("response", "continuation"):
+                    origin, total = h.get("warc-segment-origin-id", h["warc-record-id"]), h.get("warc-segment-total-length")
+                    rows.append((page, None, digest or None, kind, None, origin.strip("<>"), int(h["warc-segment-number"]), None if total is None else int(total), block))
+                    held += len(block)
+                if held > 4 << 20:
+                    yield _batch(rows, _PART)
+                    rows, held = [], 0
+            yield _batch(rows, _PART)
 
 
 def _reassembled(batches):
@@ -221,11 +242,11 @@ def _reassembled(batches):
             if [p["segment"] for p in parts] != list(range(1, len(parts) + 1)) or total != len(block):
                 raise ValueError(f"the segments of {name} aren't whole")
             rows.append(_response(name, page, digest, block))
-        yield _pages(rows)
+        yield _batch(rows, _PAGE)
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 64)
+    small_batches(spark)
     return spark.read.format("binaryFile").load(path).select("content")
 
 
@@ -235,11 +256,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` for each page of the archives."""
-    part = F.struct("segment", "block")
-    segments = read_records(spark, path).where("segment is not null").groupBy(F.col("origin").alias("name"))
-    cut = segments.agg(F.max("page_id").alias("page_id"), F.max(F.nullif("digest", F.lit(""))).alias("digest"), F.max("total").alias("total"), F.array_sort(F.collect_list(part)).alias("parts"))
-    return _files(spark, path).mapInArrow(_unsegmented, _PAGE).unionByName(cut.mapInArrow(_reassembled, _PAGE))
+    """``page_id, payload_bytes, payload_digest, record_type, refers_to`` for each page of the archives, which are read once."""
+    read, _ = saved(_files(spark, path).mapInArrow(_read, _PART), "records")
+    pages = [x.split()[0] for x in _PAGE.split(", ")]
+    segments = read.where("name is not null").groupBy("name")
+    cut = segments.agg(F.max("page_id").alias("page_id"), F.max("payload_digest").alias("digest"), F.max("total").alias("total"), F.array_sort(F.collect_list(F.struct("segment", "block"))).alias("parts"))
+    return read.where("name is null").select(*pages).unionByName(cut.mapInArrow(_reassembled, _PAGE))
 
 
 def archive_round_trip(pages: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
