@@ -1,14 +1,15 @@
 """Licence scans, in DataFrame expressions alone.
 
-A template is a short licence text. Each text is cut into overlapping windows as long as a template
-(in words) that advance by a quarter of it; MinHash bands of a window's shingles retrieve templates,
-and the exact share of the template's shingles that the whole text holds verifies a match.
+A template is a short licence text. Each text is cut into overlapping windows that are a little longer
+than a template (in words) and advance by a quarter of it; MinHash bands of a window's shingles retrieve
+templates, and the exact share of the template's shingles that the whole text holds verifies a match.
 
-A window that covers an unchanged occurrence holds one template's shingles and a few words of its
-surroundings, so its similarity is at least 0.5 where it lies best; with R hashes a band and B bands
-a template of that similarity is retrieved with probability 1 - (1 - 0.5^R)^B, 0.9999 for 2 and 32.
-Changes lower it: at 0.35 one window retrieves with 0.985, at 0.25 with 0.87. The other windows that
-overlap the occurrence add to that.
+Windows come in lengths that grow by half, so that templates of all lengths need few of them. A band is
+one minimum: a window of similarity J to a template retrieves it with probability 1 - (1 - J)^BANDS,
+0.9988 for J = 0.1 and 64 bands. A window over an unchanged occurrence has J of 0.4 or more where it lies
+best; a text that holds three quarters of a template in several places has windows of 0.1 or more unless
+they are ten or so, and each place has windows of its own. Windows that share no shingle with a
+template never retrieve it.
 
 Texts and windows without any of a template's necessary words are put aside: where a share of 0.75
 of a template's shingles is, one of the words that together stand in more than a quarter of them
@@ -17,8 +18,9 @@ must be. That drops no match.
 
 from __future__ import annotations
 
+import json
+import math
 import re
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +28,8 @@ from pyspark.sql import functions as F
 from sparkloom.llm.common import saved
 
 WORDS, LEAST_SHARE = 5, 0.75
-ROWS, BANDS = 2, 32
-STEPS = 4
+BANDS = 64
+STEPS, SHORTEST, GROWTH = 4, 8, 1.5
 
 #: Well-known licence notices and grants by their SPDX names.
 TEMPLATES = {
@@ -63,69 +65,71 @@ def necessary_words(template: str) -> list[str]:
     return chosen
 
 
+def window_length(words: int) -> int:
+    """The shortest of the window lengths that covers a template of so many words."""
+    length = SHORTEST
+    while length < words:
+        length = math.ceil(length * GROWTH)
+    return length
+
+
 def _bands(shingles: Column) -> Column:
-    """Keys of BANDS bands, each of the minima of ROWS hashes of an array of strings."""
-    least = lambda i: F.array_min(F.transform(shingles, lambda x: F.xxhash64(i, x)))
-    minima = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, *[least(b * ROWS + r) for r in range(ROWS)]))
-    return minima
+    """Keys of BANDS bands, each the least of one hash of an array of strings."""
+    least = lambda b: F.array_min(F.transform(shingles, lambda x: F.xxhash64(b, x)))
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.xxhash64(b, least(b)))
 
 
-def _windows(words: Column, length: int) -> Column:
-    """``start, words, around``: windows of so many words and with as many on either side; the last one ends with the text."""
-    step = max(1, length // STEPS)
+def _windows(words: Column, length: Column) -> Column:
+    """Windows of so many words, a quarter of that apart; the last one ends with the text."""
     last = F.greatest(F.size(words) - length, F.lit(0))
-    around = lambda a: F.slice(words, F.greatest(a - length, F.lit(0)) + 1, F.least(a, F.lit(length)) + 2 * length)
-    starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.lit(step)), F.array(last)))
-    return F.transform(starts, lambda a: F.struct(a.alias("start"), F.slice(words, a + 1, F.lit(length)).alias("words"), around(a).alias("around")))
+    starts = F.array_distinct(F.concat(F.sequence(F.lit(0), last, F.greatest(F.expr(f"kind.length div {STEPS}"), F.lit(1)).cast("int")), F.array(last)))
+    return F.transform(starts, lambda a: F.slice(words, a + 1, length))
 
 
-def _shingled(words: Column, size: int | Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - size + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, F.lit(size)), " "))
+def _shingled(words: Column, size: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - size + 1, F.lit(1))), lambda i: F.array_join(F.slice(words, i, size), " "))
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, license, share, start_word, n_places``: a row for each document and template of which it holds LEAST_SHARE or more.
-
-    Words are runs of a-z and 0-9 of the lower-cased text. share is the whole text's share of the
-    template's distinct shingles (five words; a shorter template is one shingle of its length).
-    start_word is the first retrieved window that holds most of them, looked for in the window and as
-    many words on either side of it; n_places is how many retrieved windows hold LEAST_SHARE so, 0 if
-    only the text as a whole does. Null texts and
-    texts without words hold nothing; repeated rows of an id and text are one document; null ids
-    are kept; other columns are ignored.
+    """``doc_id, license, n_held, n_shingles, share, start_word``: a row for each document and template of which it holds LEAST_SHARE or more.
+
+    Words are runs of a-z and 0-9 of the lower-cased text. n_held counts the template's distinct
+    shingles (five words; a shorter template is one shingle of its length) that stand anywhere in the
+    text, n_shingles all of them, share is their ratio; start_word is the place of the first that the
+    text holds. Null texts and texts without words hold nothing; repeated rows of an id and text are
+    one document; rows with a null id, and texts under one id, are scanned each; several templates
+    may be found in a text, equal ones each; other columns are ignored; an empty table or no
+    templates give an empty result.
     """
     spark = docs.sparkSession
+    known = [(name, words := _tokens(text), min(len(words), WORDS), window_length(len(words))) for name, text in templates.items()]
     asked = {name: necessary_words(text) for name, text in templates.items()}
-    lower = F.lower(F.col(text_col))
-    may = lambda ws: reduce(lambda a, b: a | b, [F.contains(lower, F.lit(w)) for w in ws])
-    rows = docs.where(may(sorted({w for ws in asked.values() for w in ws})))
-    rows = rows.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("h"), F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ").alias("words")).distinct()
+    kinds: dict[tuple[int, int], set[str]] = {}
+    for name, _, size, length in known:
+        kinds.setdefault((length, size), set()).update(asked[name])
+
+    lower = F.lower(F.col(f"`{text_col}`"))
+    needed = "|".join(sorted({w for ws in asked.values() for w in ws}, key=lambda w: (-len(w), w))) or "(?!)"
+    rows = docs.where(lower.rlike(needed))
+    rows = rows.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.xxhash64(f"`{text_col}`").alias("h"), F.split(F.trim(F.regexp_replace(lower, "[^a-z0-9]+", " ")), " ").alias("words")).distinct()
     rows, _ = saved(rows, "licensed")
 
-    found = None
-    lengths: dict[tuple[int, int], list[str]] = {}
-    for name, text in templates.items():
-        n = len(_tokens(text))
-        lengths.setdefault((n, min(n, WORDS)), []).append(name)
-    for (n, size), names in lengths.items():
-        known = spark.createDataFrame([(x, sorted(_shingles(_tokens(templates[x])))) for x in names], "license string, wanted array<string>")
-        known = known.select("license", "wanted", F.explode(_bands(F.col("wanted"))).alias("band"))
-        wanted = F.array(*[F.lit(w) for w in sorted({w for x in names for w in asked[x]})])
-        cut = rows.where(F.arrays_overlap("words", wanted)).select("doc_id", "h", F.explode(_windows(F.col("words"), n)).alias("w"))
-        cut = cut.where(F.arrays_overlap("w.words", wanted))
-        own = _shingled(F.col("w.words"), size)
-        banded = cut.select("doc_id", "h", F.col("w.start").alias("start"), "w.around", F.explode(_bands(own)).alias("band"))
-        pairs = banded.join(F.broadcast(known), "band")
-        held = F.size(F.array_intersect("wanted", _shingled(F.col("around"), size)))
-        part = pairs.select("doc_id", "h", "license", "start", held.alias("held"))
-        found = part if found is None else found.unionAll(part)
-    best = found.groupBy("doc_id", "h", "license", "start").agg(F.max("held").alias("held"))
-    sets = spark.createDataFrame([(x, min(len(_tokens(t)), WORDS), sorted(_shingles(_tokens(t)))) for x, t in templates.items()], "license string, size int, wanted array<string>")
-    near = F.count(F.when(F.col("held") >= LEAST_SHARE * F.size("wanted"), 1)).alias("n_places")
-    best = best.join(F.broadcast(sets), "license")
-    top = best.groupBy("doc_id", "h", "license").agg(F.max(F.struct("held", -F.col("start"))).alias("top"), near)
-    texts = rows.select(F.col("doc_id").alias("_i"), F.col("h").alias("_h"), "words")
-    whole = top.join(F.broadcast(sets), "license").join(texts, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.col("h") == F.col("_h")))
-    share = F.size(F.array_intersect("wanted", _shingled(F.col("words"), F.col("size")))) / F.size("wanted")
-    whole = whole.select("doc_id", "license", share.alias("share"), (-F.col("top.col2")).alias("start_word"), "n_places")
-    return whole.where(F.col("share") >= LEAST_SHARE)
+    kind = "array<struct<length:int,size:int,needed:array<string>>>"
+    all_kinds = F.from_json(F.lit(json.dumps([{"length": n, "size": size, "needed": sorted(ws)} for (n, size), ws in sorted(kinds.items())])), kind)
+    cut = rows.select("doc_id", "h", "words", F.explode(F.filter(all_kinds, lambda k: F.arrays_overlap("words", k["needed"]))).alias("kind"))
+    cut = cut.select("doc_id", "h", "kind", F.explode(_windows(F.col("words"), F.col("kind.length"))).alias("w")).where(F.arrays_overlap("w", "kind.needed"))
+    cut = cut.select("doc_id", "h", "kind.size", F.col("kind.length").alias("length"), _shingled(F.col("w"), F.col("kind.size")).alias("shingles"))
+    banded = cut.select("doc_id", "h", "size", "length", F.explode(_bands(F.col("shingles"))).alias("band"))
+
+    schema = "license string, size int, length int, wanted array<string>"
+    sets = spark.createDataFrame([(name, size, length, sorted(_shingles(words))) for name, words, size, length in known], schema)
+    keys = sets.select("license", "size", "length", F.explode(_bands(F.col("wanted"))).alias("band"))
+    found = banded.join(F.broadcast(keys), ["size", "length", "band"]).select("doc_id", "h", "license").distinct()
+
+    texts = rows.select(F.col("doc_id").alias("i"), F.col("h").alias("t"), "words")
+    whole = found.join(F.broadcast(sets), "license").join(texts, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("t")))
+    whole = whole.select("doc_id", "license", "wanted", _shingled(F.col("words"), F.col("size")).alias("own"))
+    held = F.size(F.array_intersect("wanted", "own")).cast("long")
+    first = F.array_min(F.transform(F.filter(F.transform("wanted", lambda x: F.array_position("own", x)), lambda p: p > 0), lambda p: p - 1))
+    out = whole.select("doc_id", "license", held.alias("n_held"), F.size("wanted").cast("long").alias("n_shingles"), first.cast("long").alias("start_word"))
+    return out.where(F.col("n_held") >= LEAST_SHARE * F.col("n_shingles")).select("doc_id", "license", "n_held", "n_shingles", (F.col("n_held") / F.col("n_shingles")).alias("share"), "start_word")

@@ -113,6 +113,22 @@ c AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = r
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d JOIN c USING (r) LEFT JOIN n USING (r)"""
 
 
+def _licences_sql() -> str:
+    """Every template against every text, shingle by shingle."""
+    from sparkloom.llm.licenses import LEAST_SHARE, TEMPLATES, WORDS
+
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    known = ", ".join(f"({quoted(name)}, {quoted(text)})" for name, text in TEMPLATES.items())
+    words = "regexp_extract_all(lower(text), '[a-z0-9]+')"
+    return f"""WITH t AS (SELECT license, {words} AS w, least({WORDS}, len({words})) AS size FROM (VALUES {known}) v(license, text)),
+p AS (SELECT DISTINCT license, size, array_to_string(w[k : k + size - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(w) - size + 2)) AS k FROM t)),
+n AS (SELECT license, count(*) AS n_shingles FROM p GROUP BY license),
+d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
+x AS (SELECT r, size, k, array_to_string(w[k : k + size - 1], ' ') AS s FROM (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS k FROM d, (SELECT DISTINCT size FROM p) WHERE len(w) >= size)),
+h AS (SELECT r, license, count(DISTINCT x.s) AS n_held, min(k) - 1 AS start_word FROM x JOIN p ON x.size = p.size AND x.s = p.s GROUP BY ALL)
+SELECT doc_id, license, n_held, n_shingles, n_held / n_shingles AS share, start_word FROM h JOIN n USING (license) JOIN d USING (r) WHERE n_held >= {LEAST_SHARE} * n_shingles"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express a query; the others are tested against plain restatements."""
-    return {"op3_decontaminate": _CONTAMINATION_SQL, "op6_warc": _WARC_SQL, "op8_near_dedup": _DUPLICATES_SQL, "op9_nearest": _NEAREST_SQL}
+    return {"op3_decontaminate": _CONTAMINATION_SQL, "op6_warc": _WARC_SQL, "op7_licenses": _licences_sql(), "op8_near_dedup": _DUPLICATES_SQL, "op9_nearest": _NEAREST_SQL}
