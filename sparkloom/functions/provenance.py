@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sparkloom.functions.arrays import let
+
 HEX64 = "^[0-9a-f]{64}$"
 
 
@@ -23,6 +25,7 @@ def derived_id(prefix: str, document: Column) -> Column:
 
 
 def block_ref(ordinal: Column, text: Column) -> Column:
+    """Where a block stands and what it says."""
     return F.concat(F.lit("b"), F.format_string("%04d", ordinal), F.lit("-"), F.substring(sha256(text), 1, 12))
 
 
@@ -33,5 +36,7 @@ def object_path(sha: Column, root: str = "objects", suffix: str = "") -> Column:
 
 
 def is_safe_path(path: Column) -> Column:
-    """Relative and without a step upwards."""
-    return ~path.rlike(r"^/|(^|/)\.\.(/|$)")
+    """Relative, and none of its steps leads above the folder it starts in."""
+    steps = F.filter(F.split(path, "/"), lambda s: (s != "") & (s != "."))
+    depth = F.aggregate(steps, F.struct(F.lit(0).alias("at"), F.lit(0).alias("least")), lambda acc, s: let(acc["at"] + F.when(s == "..", -1).otherwise(1), lambda n: F.struct(n.alias("at"), F.least(acc["least"], n).alias("least"))), lambda acc: acc["least"])
+    return ~path.startswith("/") & (path != "") & (depth >= 0)

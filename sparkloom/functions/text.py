@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -35,58 +36,64 @@ def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
-def normalize_titles(df: DataFrame, column: str) -> DataFrame:
-    """Titles in normal form. Only texts that may change under NFC pass through Python.
+def composed(c: Column) -> Column:
+    """The text in composed form (NFC). Only texts that may change are sent to Python; for the others a null is.
 
     Characters below U+0300 are composed already, so that texts of them alone are their own NFC.
     """
-    plain = F.coalesce(~F.col(column).rlike(r"[^\x{0}-\x{2ff}]"), F.lit(True))
-    composed = df.where(~plain).withColumn(column, nfc(F.col(column)))
-    return df.where(plain).unionByName(composed).withColumn(column, title_expression(F.col(column)))
+    return F.coalesce(nfc(F.when(c.rlike(r"[^\x{0}-\x{2ff}]"), c)), c)
+
+
+def normalize_titles(df: DataFrame, column: str) -> DataFrame:
+    """Titles in normal form."""
+    return df.withColumn(column, composed(F.col(column))).withColumn(column, title_expression(F.col(column)))
 
 
-def _plain_letters() -> tuple[str, str, str, dict[str, str]]:
-    """Letters with accents and what they become without: one to one, or several characters."""
+@cache
+def _plain_letters() -> tuple[str, str, dict[str, str]]:
+    """Letters whose folded form without marks is another letter, that letter, and those that become several.
+
+    By rule, over all characters but Hangul syllables, which stand for themselves.
+    """
     source, target, several = [], [], {}
-    for code in [*range(0xC0, 0x250), *range(0x370, 0x530), *range(0x1E00, 0x2000)]:
+    for code in range(0x41, 0x20000):
+        if 0xD800 <= code < 0xE000 or 0xAC00 <= code < 0xD7A4:
+            continue
         c = chr(code)
         key = "".join(x for x in unicodedata.normalize("NFD", c.casefold()) if unicodedata.category(x) != "Mn")
         if key != c and len(key) == 1:
             source.append(c)
             target.append(key)
-        elif key != c and len(key) > 1:
+        elif len(key) > 1:
             several[c] = key
-    return "".join(source), "".join(target), "", several
-
-
-_SOURCE, _TARGET, _, _SEVERAL = _plain_letters()
+    return "".join(source), "".join(target), several
 
 
 def dedupe_key(c: Column) -> Column:
-    """Case and accents removed, collapsed: equal for titles that differ in these alone.
-
-    Native for Latin, Greek and Cyrillic letters; combining marks go in any script.
-    """
-    out = F.translate(F.lower(F.translate(c, _SOURCE, _TARGET)), _SOURCE, _TARGET)
-    out = F.when(out.rlike(r"[ßŉǰΐΰևẖ-ẚẞὐ-ᾼῂ-ῼ]"), _replace_several(out)).otherwise(out)
+    """Case and accents removed, collapsed: equal for titles that differ in these alone."""
+    source, target, several = _plain_letters()
+    out = F.translate(c, source, target)
+    whole = out
+    for a, b in several.items():
+        whole = F.replace(whole, F.lit(a), F.lit(b))
+    out = F.when(out.rlike("[" + "".join(several) + "]"), whole).otherwise(out)
     return collapse(F.regexp_replace(out, r"\p{Mn}", ""))
 
 
-def _replace_several(c: Column) -> Column:
-    for a, b in (("ß", "ss"), ("ẞ", "ss"), ("ŉ", "ʼn")):
-        c = F.replace(c, F.lit(a), F.lit(b))
-    return c
-
-
 def strip_accents(c: Column) -> Column:
     """Lower case without accents, letters of other kinds kept (as the tf-idf analyser wants)."""
     pairs = [(chr(k), d) for k in range(0xC0, 0x250) if len(d := "".join(x for x in unicodedata.normalize("NFKD", chr(k).lower()) if not unicodedata.combining(x))) == 1 and d != chr(k)]
     return F.regexp_replace(F.translate(F.lower(c), "".join(a for a, _ in pairs), "".join(b for _, b in pairs)), r"\p{Mn}", "")
 
 
-def normalize_markdown(c: Column) -> Column:
+def normal_lines(c: Column) -> Column:
     """Line ends are one newline, no white space before them, one empty line at most, trimmed."""
     out = F.regexp_replace(c, r"\r\n?", "\n")
     out = F.regexp_replace(out, r"(?U)[\s\x1c-\x1f&&[^\n]]+(?=\n|\z)", "")
     out = F.regexp_replace(out, r"\n{3,}", "\n\n")
     return F.regexp_replace(out, rf"(?U)^{SPACE}+|{SPACE}+\z", "")
+
+
+def normalize_markdown(c: Column) -> Column:
+    """Composed text with normal lines."""
+    return normal_lines(composed(c))

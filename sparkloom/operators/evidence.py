@@ -11,7 +11,7 @@ from sparkloom.operators.ledger import latest
 #: Default and hard limits of bundles and claims.
 MAX_ITEMS, HARD_ITEMS, MAX_CHARS, HARD_CHARS = 8, 32, 12_000, 50_000
 MAX_CLAIMS, HARD_CLAIMS, CLAIM_CHARS, HARD_CLAIM_CHARS = 8, 32, 1_200, 4_000
-VERDICTS = ("supported", "partially_supported", "unsupported", "unverifiable")
+VERDICTS = ("supported", "partially_supported", "unsupported", "unassessable")
 DOCUMENT_KEYS = ["source_id", "requested_url"]
 
 
@@ -36,27 +36,6 @@ def provenance_rules() -> list[tuple[str, Column]]:
     ]
 
 
-def evidence_document(source: Column, url: Column, observation: Column, ref: Column, text: Column) -> Column:
-    """The canonical JSON that an evidence id is made from."""
-    return canonical_json(block_ref=ref, observation_id=observation, requested_url=url, source_id=source, text=text)
-
-
-def bundles(items: DataFrame, group: list[str], order: list[str], chars: str = "text") -> DataFrame:
-    """One bundle for each group: counts, hash over its items' ids in order, id.
-
-    Items are deduplicated by evidence_id. A bundle has at most HARD_ITEMS items by contract, so
-    larger groups are reported (within_limits is false), not gathered: totals are aggregates.
-    """
-    once = items.dropDuplicates([*group, "evidence_id"])
-    totals = once.groupBy(*group).agg(F.count("*").alias("item_count"), F.sum(F.length(chars)).alias("total_chars"))
-    small = once.join(totals.where(F.col("item_count") <= HARD_ITEMS).select(*group), group, "left_semi")
-    ordered = small.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(*order, "evidence_id"))).alias("o"))
-    body = F.array_join(F.transform("o", lambda x: x["evidence_id"]), ",")
-    hashed = ordered.select(*group, sha256(body).alias("bundle_sha256"), derived_id("eb", body).alias("bundle_id"))
-    within = (F.col("item_count") <= HARD_ITEMS) & (F.col("total_chars") <= HARD_CHARS)
-    return totals.join(hashed, group, "left").withColumn("within_limits", within)
-
-
 def proposal_rules(known: Column) -> list[tuple[str, Column]]:
     """Rules over claim_text and citations of a proposal; known: the bundle's evidence ids."""
     text, cites = F.col("claim_text"), F.col("citations")
@@ -69,12 +48,18 @@ def proposal_rules(known: Column) -> list[tuple[str, Column]]:
     ]
 
 
+def ratio(numerator: Column, denominator: Column) -> Column:
+    """Numerator, denominator and value, which is null for a denominator of 0."""
+    return F.struct(numerator.alias("numerator"), denominator.alias("denominator"), (numerator / F.nullif(denominator, F.lit(0))).alias("value"))
+
+
 def review_metrics(judgments: DataFrame, by: list[str]) -> DataFrame:
-    """Verdict counts, and ratios with numerator and denominator; value is null for a denominator of 0."""
+    """Verdict counts of many judgments, and ratios over those that could be assessed; null for none."""
     n = lambda v: F.count_if(F.col("verdict") == v)
     out = judgments.groupBy(*by).agg(*[n(v).alias(f"n_{v}") for v in VERDICTS], F.count("verdict").alias("n_claims"))
-    ratio = lambda v: F.col(f"n_{v}") / F.nullif(F.col("n_claims"), F.lit(0))
-    return out.withColumns({"supported_precision": ratio("supported"), "unsupported_rate": ratio("unsupported")})
+    out = out.withColumn("assessable_claims", F.col("n_supported") + F.col("n_partially_supported") + F.col("n_unsupported"))
+    share = lambda v: ratio(F.col(f"n_{v}"), F.col("assessable_claims"))["value"]
+    return out.withColumns({"supported_precision": share("supported"), "unsupported_rate": share("unsupported")})
 
 
 def coverage(findings: DataFrame, judgments: DataFrame, by: list[str]) -> DataFrame:
@@ -85,8 +70,8 @@ def coverage(findings: DataFrame, judgments: DataFrame, by: list[str]) -> DataFr
 
 
 def abstention(claims: Column, findings: Column) -> Column:
-    """Whether a case without claims should have had some."""
-    return F.when(claims > 0, "NOT_ABSTAINED").when(findings == 0, "CORRECT_ABSTENTION").otherwise("MISSED_FINDINGS")
+    """Whether a case without claims rightly has none: it is appropriate if there was nothing to find."""
+    return F.when(claims > 0, "NOT_APPLICABLE").when(findings == 0, "APPROPRIATE").otherwise("INAPPROPRIATE")
 
 
 def registry_rules() -> list[tuple[str, Column]]:

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from sparkloom.functions import provenance as pv
 from sparkloom.functions import text as tx
 from sparkloom.functions import urls
-from sparkloom.operators import blocks, dataset, evidence, ledger
+from sparkloom.operators import blocks, dataset, evidence, ledger, registry
+from sparkloom.plans import evidence_queries
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -261,48 +262,16 @@ def object_store(spark, d):
     return out.select("sha256", pv.object_path(F.col("sha256")).alias("path"), "bytes", "n")
 
 
-def _turns(spark, d) -> DataFrame:
-    flat = F.trim(F.regexp_replace("text", r"\s+", " "))
-    md = F.concat(F.lit("# conv "), F.col("conv_id").cast("string"), F.lit("\r\n\r\n\r\n## "), "role", F.lit("  \n\nT: "), flat, F.lit("\n"))
-    return _t(spark, d, "conversations").select("conv_id", "turn", md.alias("md"))
-
-
-_BLOCKS = r"""t AS (SELECT conv_id, turn, role, 'T: ' || trim(regexp_replace(text, '\s+', ' ', 'g')) AS body FROM conversations),
-b AS (SELECT conv_id, turn, 1 AS ordinal, 'heading' AS kind, 'conv ' || conv_id AS path, '# conv ' || conv_id AS text FROM t
-UNION ALL SELECT conv_id, turn, 2, 'heading', 'conv ' || conv_id || ' > ' || role, '## ' || role FROM t
-UNION ALL SELECT conv_id, turn, 3, 'paragraph', 'conv ' || conv_id || ' > ' || role, trim(body) FROM t),
-k AS (SELECT *, 'b' || lpad(ordinal::varchar, 4, '0') || '-' || sha256(text)[1:12] AS ref FROM b)"""
-
-
 def _blocks(spark, d) -> DataFrame:
-    rows = blocks.citation_blocks(_turns(spark, d), ["conv_id", "turn"], "md")
+    rows = blocks.citation_blocks(evidence_queries.turns(spark, d), ["conv_id", "turn"], "md")
     return rows.withColumn("path", F.array_join("heading_path", " > ")).drop("heading_path")
 
 
-@query(f"WITH {_BLOCKS} SELECT conv_id, turn, ordinal, ref, kind, path, text FROM k")
+@query(f"WITH {evidence_queries.BLOCKS_SQL} SELECT conv_id, turn, ordinal, ref, kind, path, text FROM k")
 def citation_blocks(spark, d):
     return _blocks(spark, d)
 
 
-_EVIDENCE = f"""{_BLOCKS}, e AS (SELECT *, 'ev-' || sha256('{{"block_ref":"' || ref || '","conv_id":' || conv_id || ',"turn":' || turn || '}}')[1:20] AS evidence_id FROM k)"""
-
-
-def _evidence(spark, d) -> DataFrame:
-    doc = pv.canonical_json(block_ref=F.col("ref"), conv_id=F.col("conv_id"), turn=F.col("turn"))
-    return _blocks(spark, d).withColumn("evidence_id", pv.derived_id("ev", doc))
-
-
-@query(f"WITH {_EVIDENCE} SELECT conv_id, turn, ordinal, evidence_id FROM e")
-def evidence_ids(spark, d):
-    return _evidence(spark, d).select("conv_id", "turn", "ordinal", "evidence_id")
-
-
-@query(f"""WITH {_EVIDENCE}, g AS (SELECT conv_id, count(*) AS item_count, sum(length(text))::bigint AS total_chars, string_agg(evidence_id, ',' ORDER BY turn, ordinal, evidence_id) AS body FROM e GROUP BY conv_id)
-SELECT conv_id, item_count, total_chars, CASE WHEN item_count <= 32 THEN sha256(body) END AS bundle_sha256, CASE WHEN item_count <= 32 THEN 'eb-' || sha256(body)[1:20] END AS bundle_id, item_count <= 32 AND total_chars <= 50000 AS within_limits FROM g""")
-def bundle_totals(spark, d):
-    return evidence.bundles(_evidence(spark, d), ["conv_id"], ["turn", "ordinal"])
-
-
 @query(f"WITH {_OBS}, l AS (SELECT * FROM o WHERE status = 'success' QUALIFY row_number() OVER (PARTITION BY source_id, requested_url ORDER BY id DESC) = 1) SELECT l.source_id, l.requested_url, l.id, l.id - l.id % 2 AS ingestion_id FROM l JOIN o i ON i.id = l.id - l.id % 2 AND i.status = 'success'")
 def evidence_list(spark, d):
     rows = _observations(spark, d)
@@ -318,12 +287,12 @@ def provenance_violations(spark, d):
     return ledger.violations(evidence.documents(normal, rows), F.col("n.id"), evidence.provenance_rules()).select("entity_id", "rule_no")
 
 
-@query("""WITH v AS (SELECT source, CASE WHEN quality = 1 AND toxic = 0 THEN 'supported' WHEN quality = 0 AND toxic = 0 THEN 'partially_supported' WHEN quality = 1 THEN 'unsupported' ELSE 'unverifiable' END AS verdict FROM labels JOIN documents USING (doc_id))
-SELECT source, count(*) FILTER (verdict = 'supported') AS n_supported, count(*) FILTER (verdict = 'partially_supported') AS n_partially_supported, count(*) FILTER (verdict = 'unsupported') AS n_unsupported, count(*) FILTER (verdict = 'unverifiable') AS n_unverifiable, count(*) AS n_claims,
-count(*) FILTER (verdict = 'supported') / count(*) AS supported_precision, count(*) FILTER (verdict = 'unsupported') / count(*) AS unsupported_rate FROM v GROUP BY source""")
+@query("""WITH v AS (SELECT source, CASE WHEN quality = 1 AND toxic = 0 THEN 'supported' WHEN quality = 0 AND toxic = 0 THEN 'partially_supported' WHEN quality = 1 THEN 'unsupported' ELSE 'unassessable' END AS verdict FROM labels JOIN documents USING (doc_id))
+SELECT source, count(*) FILTER (verdict = 'supported') AS n_supported, count(*) FILTER (verdict = 'partially_supported') AS n_partially_supported, count(*) FILTER (verdict = 'unsupported') AS n_unsupported, count(*) FILTER (verdict = 'unassessable') AS n_unassessable, count(*) AS n_claims, count(*) FILTER (verdict <> 'unassessable') AS assessable_claims,
+count(*) FILTER (verdict = 'supported') / nullif(count(*) FILTER (verdict <> 'unassessable'), 0) AS supported_precision, count(*) FILTER (verdict = 'unsupported') / nullif(count(*) FILTER (verdict <> 'unassessable'), 0) AS unsupported_rate FROM v GROUP BY source""")
 def claim_metrics(spark, d):
     q, t = F.col("quality") == 1, F.col("toxic") == 1
-    verdict = F.when(q & ~t, "supported").when(~q & ~t, "partially_supported").when(q, "unsupported").otherwise("unverifiable")
+    verdict = F.when(q & ~t, "supported").when(~q & ~t, "partially_supported").when(q, "unsupported").otherwise("unassessable")
     rows = _t(spark, d, "labels").join(_t(spark, d, "documents").select("doc_id", "source"), "doc_id")
     return evidence.review_metrics(rows.select("source", verdict.alias("verdict")), ["source"])
 
@@ -336,11 +305,31 @@ def proposal_validation(spark, d):
     return ledger.violations(rows, F.col("e"), evidence.proposal_rules(known)).select("entity_id", "rule_no")
 
 
-@query("SELECT * FROM (VALUES ('a', 1), ('a', 1), ('c', 2), ('d', 5), ('e', 3), ('e', 4)) t(entity_id, rule_no)")
+@query("""WITH s AS (SELECT n_nationkey AS place, CASE WHEN n_nationkey % 9 = 8 THEN ' ' ELSE 'n' || (n_nationkey % 20) END AS id, n_nationkey % 4 <> 0 AS official, n_nationkey % 3 <> 0 AS enabled, n_nationkey % 7 AS m FROM nation),
+d AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY place) AS nth, CASE WHEN trim(id) = '' THEN 'sources[' || place || ']' ELSE id END AS entity_id FROM s)
+SELECT entity_id, 1 AS rule_no FROM d WHERE trim(id) = '' UNION ALL SELECT entity_id, 2 FROM d WHERE nth > 1 UNION ALL SELECT entity_id, 3 FROM d WHERE enabled AND NOT official
+UNION ALL SELECT entity_id, unnest([4, 7, 8]) FROM d WHERE m = 1 UNION ALL SELECT entity_id, 5 FROM d WHERE m = 2 UNION ALL SELECT entity_id, 6 FROM d WHERE m = 3 UNION ALL SELECT entity_id, 7 FROM d WHERE m = 4 UNION ALL SELECT entity_id, 8 FROM d WHERE m = 5""")
 def registry_violations(spark, d):
-    ok = ["https://x.org/"]
-    rows = [("a", True, True, ["x.org"], ok, ok), ("a", True, True, ["x.org"], ok, ok), ("b", False, False, ["x.org"], ok, ok), ("c", False, True, ["x.org"], ok, ok), ("d", True, True, ["x.org"], ["http://x.org/"], ok), ("e", True, True, [], [], [])]
-    schema = "id string, official boolean, enabled boolean, domains array<string>, entrypoints array<string>, allowed_url_prefixes array<string>"
-    df = spark.createDataFrame(rows, schema)
-    counted = df.join(df.groupBy("id").agg(F.count("*").alias("n_same_id")), "id")
-    return ledger.violations(counted, F.col("id"), evidence.registry_rules()).select("entity_id", "rule_no")
+    k, m = F.col("n_nationkey"), F.col("n_nationkey") % 7
+    none, one = F.array().cast("array<string>"), lambda u: F.array(F.lit(u))
+    rows = _t(spark, d, "nation").select(
+        k.alias("place"), F.when(k % 9 == 8, " ").otherwise(F.concat(F.lit("n"), (k % 20).cast("string"))).alias("id"), (k % 4 != 0).alias("official"), (k % 3 != 0).alias("enabled"),
+        F.when(m == 1, none).otherwise(one("X.example.org")).alias("domains"), F.when(m == 2, none).when(m == 4, one("http://x.example.org/")).otherwise(one("https://x.example.org/a")).alias("entrypoints"),
+        F.when(m == 3, none).when(m == 5, one("https://y.example.org/")).otherwise(one("https://x.example.org/")).alias("allowed_url_prefixes"),
+    )
+    return registry.registry_violations(rows).select("entity_id", "rule_no")
+
+
+@query(f"WITH {_OBS}, l AS (SELECT * FROM o WHERE status = 'success' QUALIFY row_number() OVER (PARTITION BY source_id, requested_url ORDER BY id DESC) = 1) SELECT id, source_id, requested_url FROM l WHERE source_id = 's3' ORDER BY requested_url LIMIT 7")
+def latest_ingestions(spark, d):
+    rows = ledger.latest(_observations(spark, d).where("status = 'success' AND source_id = 's3'"), _URL_KEYS)
+    return rows.orderBy("requested_url").limit(7).select("id", "source_id", "requested_url")
+
+
+@query("SELECT lang AS label, count(*) AS n FROM documents GROUP BY lang")
+def class_distribution(spark, d):
+    return dataset.class_distribution(_t(spark, d, "documents").withColumnRenamed("lang", "label"), "label")
+
+
+for _name, (_made, _sql) in evidence_queries.queries().items():
+    _QUERIES[_name], _SQL[_name] = _made, _sql

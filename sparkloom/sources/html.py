@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+import re
+import unicodedata
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -12,13 +14,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sparkloom.functions.urls import resolve
+
 #: Limits of fetched documents.
 HTML_BYTES, ROBOTS_BYTES, REDIRECTS = 4 << 20, 512 << 10, 4
 #: JSON-LD types that are preferred as an article.
-ARTICLES = ("Article", "NewsArticle", "BlogPosting", "Report", "ScholarlyArticle", "TechArticle")
+ARTICLES = ("article", "blogposting", "newsarticle", "report", "scholarlyarticle", "techarticle")
+#: Where each field of a page's metadata is looked for, in order: JSON-LD, meta tags, the page itself.
+PRECEDENCE = {
+    "title": [("ld", ("headline", "name")), ("meta", ("og:title", "twitter:title")), ("page", ("title",))],
+    "published_at": [("ld", ("datePublished",)), ("meta", ("article:published_time", "datepublished", "publishdate", "date", "dc.date", "dcterms.date"))],
+    "modified_at": [("ld", ("dateModified",)), ("meta", ("article:modified_time", "og:updated_time", "datemodified"))],
+    "language": [("page", ("lang",)), ("ld", ("inLanguage",)), ("meta", ("content-language", "language", "og:locale"))],
+    "declared_canonical_url": [("page", ("canonical",))],
+    "site_name": [("meta", ("og:site_name",))],
+    "description": [("ld", ("description",)), ("meta", ("description", "og:description"))],
+}
+AUTHOR_KEYS = ("author", "article:author", "byl")
 EXTRACTOR = {"name": "sparkloom-text", "version": "1"}
 _SKIPPED = {"script", "style", "nav", "header", "footer", "aside", "noscript", "template", "svg", "form", "button"}
-_BLOCKS = {"p", "div", "section", "article", "main", "ul", "ol", "table", "tr", "blockquote", "pre", "br", "body"}
+_BLOCKS = {"p", "div", "section", "article", "main", "ul", "ol", "table", "blockquote", "pre", "br", "body"}
 
 
 class _Links(HTMLParser):
@@ -47,6 +62,7 @@ class _Page(HTMLParser):
         self.meta: dict[str, list[str]] = {}
         self.title, self.scripts, self.out = "", [], []
         self.skip, self.in_title, self.in_json = 0, False, False
+        self.pre, self.row, self.rows = 0, None, 0
 
     def handle_starttag(self, tag, attrs):
         a = {k: v or "" for k, v in reversed(attrs)}
@@ -57,7 +73,7 @@ class _Page(HTMLParser):
         elif tag == "meta":
             name = next((a[k] for k in ("property", "name", "itemprop", "http-equiv") if a.get(k)), None)
             if name and a.get("content"):
-                self.meta.setdefault(name.lower(), []).append(a["content"])
+                self.meta.setdefault(name.strip().lower(), []).append(a["content"].strip())
         elif tag == "title":
             self.in_title = True
         elif tag == "script" and a.get("type", "").lower() == "application/ld+json":
@@ -65,7 +81,17 @@ class _Page(HTMLParser):
             self.scripts.append("")
         self.skip += tag in _SKIPPED
         if not self.skip:
-            if tag in _BLOCKS:
+            if tag == "table":
+                self.rows = 0
+            elif tag == "pre":
+                self.pre += 1
+            if tag == "tr":
+                self.row = []
+            elif tag in ("td", "th") and self.row is not None:
+                self.row.append("")
+            elif tag == "pre":
+                self.out.append("\n\n```\n")
+            elif tag in _BLOCKS and self.row is None:
                 self.out.append("\n\n")
             elif tag == "li":
                 self.out.append("\n- ")
@@ -76,7 +102,14 @@ class _Page(HTMLParser):
         self.in_title &= tag != "title"
         self.in_json &= tag != "script"
         self.skip -= tag in _SKIPPED and self.skip > 0
-        if not self.skip and (tag in _BLOCKS or tag[:1] == "h" and tag[1:].isdigit()):
+        if tag == "tr" and self.row is not None:
+            cells = [" ".join(c.split()).replace("|", "\\|") for c in self.row]
+            self.out.append("\n| " + " | ".join(cells) + " |" + ("\n|" + " --- |" * len(cells) if not self.rows else "") if cells else "")
+            self.row, self.rows = None, self.rows + 1
+        elif tag == "pre" and self.pre:
+            self.pre -= 1
+            self.out.append("\n```\n\n")
+        elif not self.skip and self.row is None and (tag in _BLOCKS or tag[:1] == "h" and tag[1:].isdigit()):
             self.out.append("\n\n")
 
     def handle_data(self, data):
@@ -84,8 +117,17 @@ class _Page(HTMLParser):
             self.scripts[-1] += data
         elif self.in_title:
             self.title += data
-        elif not self.skip:
-            self.out.append(" ".join(data.split()) + (" " if data[-1:].isspace() else "") if data.strip() else " ")
+        elif not self.skip and self.row:
+            self.row[-1] += data
+        elif not self.skip and self.pre:
+            self.out.append(data)
+        elif not self.skip and self.row is None:
+            self.out.append((" " if data[:1].isspace() else "") + " ".join(data.split()) + (" " if data[-1:].isspace() else "") if data.strip() else " ")
+
+    def markdown(self) -> str:
+        """Composed text, without white space at the start of lines outside code."""
+        parts = "".join(self.out).split("```")
+        return unicodedata.normalize("NFC", "```".join(p if i % 2 else re.sub(r"\n[ \t]+", "\n", re.sub(r"[ \t]+", " ", p)) for i, p in enumerate(parts)))
 
 
 def _nodes(value) -> Iterator[dict]:
@@ -106,8 +148,13 @@ def _authors(value) -> list[str]:
     return [a for x in value for a in _authors(x)] if isinstance(value, list) else []
 
 
-def page_of(html: str | None) -> dict:
-    """Title, authors, dates, language, canonical URL and Markdown; JSON-LD first, then meta tags, then the page."""
+def _is_article(node: dict) -> bool:
+    kinds = node["@type"] if isinstance(node.get("@type"), list) else [node.get("@type")]
+    return any(isinstance(k, str) and k.lower() in ARTICLES for k in kinds)
+
+
+def page_of(html: str | None, url: str | None = None) -> dict:
+    """The fields of PRECEDENCE, authors in order without repeats, and the visible text as Markdown; url resolves the canonical link."""
     page = _Page()
     page.feed(html or "")
     page.close()
@@ -117,26 +164,27 @@ def page_of(html: str | None) -> dict:
             nodes += _nodes(json.loads(text))
         except ValueError:
             continue
-    kinds = lambda n: n["@type"] if isinstance(n.get("@type"), list) else [n.get("@type")]
-    nodes = [n for n in nodes if set(kinds(n)) & set(ARTICLES)] or nodes
-    clean = lambda v: " ".join(v.split()) or None if isinstance(v, str) else None
-    declared = lambda *names: next((x for n in nodes for k in names if (x := clean(n.get(k)))), None)
-    meta = lambda *names: next((x for k in names for v in page.meta.get(k, []) if (x := clean(v))), None)
-    authors = [a for n in nodes for a in _authors(n.get("author"))] + _authors(page.meta.get("author", []) + page.meta.get("article:author", []))
-    return {
-        "title": declared("headline", "name") or meta("og:title", "twitter:title") or clean(page.title),
-        "authors": list(dict.fromkeys(authors)),
-        "published_at": declared("datePublished") or meta("article:published_time", "date"),
-        "modified_at": declared("dateModified") or meta("article:modified_time"),
-        "language": declared("inLanguage") or page.lang or meta("content-language"),
-        "canonical_url": page.canonical or declared("url") or meta("og:url"),
-        "site_name": meta("og:site_name"),
-        "description": declared("description") or meta("description", "og:description"),
-        "markdown": "".join(page.out),
-    }
-
-
-_PAGE = "title string, authors array<string>, published_at string, modified_at string, language string, canonical_url string, site_name string, description string, markdown string"
+    nodes = [n for n in nodes if _is_article(n)] or nodes
+    own = {"title": page.title, "lang": page.lang, "canonical": page.canonical}
+    places = {"ld": lambda keys: [n.get(k) for n in nodes for k in keys], "meta": lambda keys: [v for k in keys for v in page.meta.get(k, [])], "page": lambda keys: [own[k] for k in keys]}
+    out = {}
+    for name, rules in PRECEDENCE.items():
+        values = (v for place, keys in rules for v in places[place](keys))
+        out[name] = next((" ".join(v.split()) for v in values if isinstance(v, str) and v.strip()), None)
+    if out["declared_canonical_url"]:
+        out["declared_canonical_url"] = resolve(url, out["declared_canonical_url"])
+    authors = [a for n in nodes for a in _authors(n.get("author"))] + _authors(places["meta"](AUTHOR_KEYS))
+    return out | {"authors": list(dict.fromkeys(authors)), "markdown": page.markdown()}
+
+
+@F.pandas_udf("array<string>")
+def hrefs(html: pd.Series) -> pd.Series:
+    """links_of() over a column; none for null."""
+    return html.map(lambda x: [] if x is None else links_of(x))
+
+
+_FIELDS = pa.struct([("title", pa.string()), ("authors", pa.list_(pa.string())), *[(f, pa.string()) for f in ("published_at", "modified_at", "language", "declared_canonical_url", "site_name", "description", "markdown")]])
+_PAGE = "page struct<title:string,authors:array<string>,published_at:string,modified_at:string,language:string,declared_canonical_url:string,site_name:string,description:string,markdown:string>"
 
 
 def page_links(pages: DataFrame, keys: list[str], html: str) -> DataFrame:
@@ -156,35 +204,17 @@ def page_links(pages: DataFrame, keys: list[str], html: str) -> DataFrame:
     return pages.select(*keys, html).mapInArrow(run, schema)
 
 
-def page_metadata(pages: DataFrame, html: str) -> DataFrame:
-    """pages with a struct column page: declared metadata and Markdown."""
+def page_metadata(pages: DataFrame, html: str, url: str | None = None) -> DataFrame:
+    """pages with a struct column page: declared metadata and Markdown; url names the column that a canonical link is resolved against.
 
-    @F.pandas_udf(_PAGE)
-    def parsed(s: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([page_of(x) for x in s])
-
-    return pages.withColumn("page", parsed(F.col(html)))
-
-
-def fetched(urls: DataFrame, fetch: Callable[[str], tuple[int, str, bytes]], allowed: Callable[[str], bool], limit: int = HTML_BYTES) -> DataFrame:
-    """``url, status, content_type, body, error`` by an injected fetcher, one partition's URLs in turn.
-
-    Only allowed URLs, 2xx answers, HTML types and bodies within the limit succeed; errors are rows.
+    Pages are parsed once each, in batches beside their other columns.
     """
+    schema = StructType([*pages.schema, *StructType.fromDDL(_PAGE)])
 
-    def one(url: str) -> tuple:
-        if not allowed(url):
-            return url, None, None, None, "not allowed"
-        try:
-            status, kind, body = fetch(url)
-        except Exception as e:  # noqa: BLE001
-            return url, None, None, None, type(e).__name__
-        kind = kind.partition(";")[0].strip().lower()
-        error = "status" if not 200 <= status < 300 else "content type" if kind not in ("text/html", "application/xhtml+xml") else "too large" if len(body) > limit else None
-        return url, status, kind, None if error else body, error
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame([one(u) for u in frame["url"]], columns=["url", "status", "content_type", "body", "error"]).astype(object)
-
-    return urls.select("url").mapInPandas(run, "url string, status int, content_type string, body binary, error string")
+    def run(batches):
+        for batch in batches:
+            bases = batch.column(url).to_pylist() if url else [None] * batch.num_rows
+            made = [page_of(x, b) for x, b in zip(batch.column(html).to_pylist(), bases, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, _FIELDS)], schema.names)
+
+    return pages.mapInArrow(run, schema)
