@@ -53,10 +53,11 @@ def saved(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a saved table that no later plan reads."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete saved tables that no later plan reads."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def within(df: DataFrame, rows: int) -> bool:

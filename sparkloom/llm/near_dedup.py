@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import saved, small_batches, within
+from sparkloom.llm.common import discard, saved, small_batches, within
 from sparkloom.llm.components import connected_components
 
 WORDS = 5
@@ -151,17 +151,17 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     return source.mapInArrow(_sign, "id long, n long, k long, bands array<long>, sig binary, t long")
 
 
-def _sets_of(classes: DataFrame, asked: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``k, s``: the full sets of the classes asked for, made again from a text of each."""
+def _sets_of(classes: DataFrame, asked: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """``k, s`` and where they are saved: the full sets of the classes asked for, made again from a text of each."""
     ids = classes.join(asked, "k", "left_semi").select("first").distinct()
     ids = F.broadcast(ids) if within(ids, BROADCAST_IDS) else ids
     texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("first"), F.col(text_col).alias("t")).where("t is not null")
     sets = texts.join(ids, "first", "left_semi").select("t").mapInArrow(_sets, "k long, s binary")
-    return saved(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")[0]
+    return saved(sets.groupBy("k").agg(F.first("s").alias("s")), "sets")
 
 
 def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Of the candidate pairs (a, b) of classes, the links; signatures first, then full sets."""
+    """Of the candidate pairs (a, b) of classes, the links, saved; signatures first, then full sets."""
     sigs = classes.select("k", "sig")
     likely = (
         pairs.join(sigs.withColumnsRenamed({"k": "a", "sig": "sa"}), "a")
@@ -169,10 +169,12 @@ def _confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str,
         .select("a", "b", "sa", "sb")
         .mapInArrow(_alike, "a long, b long")
     )
-    likely, _ = saved(likely, "likely")
-    sets = _sets_of(classes, likely.select(F.col("a").alias("k")).unionAll(likely.select(F.col("b").alias("k"))).distinct(), docs, id_col, text_col)
+    likely, likely_path = saved(likely, "likely")
+    sets, sets_path = _sets_of(classes, likely.select(F.col("a").alias("k")).unionAll(likely.select(F.col("b").alias("k"))).distinct(), docs, id_col, text_col)
     full = likely.join(sets.withColumnsRenamed({"k": "a", "s": "sa"}), "a").join(sets.withColumnsRenamed({"k": "b", "s": "sb"}), "b")
-    return full.select("a", "b", "sa", "sb").mapInArrow(lambda it: _linked(it, percent), "a long, b long")
+    links, _ = saved(full.select("a", "b", "sa", "sb").mapInArrow(lambda it: _linked(it, percent), "a long, b long"), "links")
+    discard(classes.sparkSession, likely_path, sets_path)
+    return links
 
 
 def _blocks(batches):
@@ -249,7 +251,7 @@ def _joining(batches, percent: int):
 
 
 def _between_components(rows: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
-    """Links between members of one bucket that are in different components; rows: ``h, k, m, root``.
+    """Links between members of one bucket that are in different components, saved; rows: ``h, k, m, root``.
 
     A bucket of more than BLOCK members is dealt into parts, and every two parts meet in one block.
     """
@@ -259,10 +261,12 @@ def _between_components(rows: DataFrame, classes: DataFrame, docs: DataFrame, id
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), parts - 1)).alias("with"))
     dealt = dealt.select("h", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "k", "root", "sig", "bands")
     sort = lambda d: d.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "k")
-    kept, _ = saved(sort(dealt).mapInArrow(_partnered, "h long, i int, j int, own int, k long, root long, sig binary"), "partnered")
-    sets = _sets_of(classes, kept.select("k").distinct(), docs, id_col, text_col)
+    kept, kept_path = saved(sort(dealt).mapInArrow(_partnered, "h long, i int, j int, own int, k long, root long, sig binary"), "partnered")
+    sets, sets_path = _sets_of(classes, kept.select("k").distinct(), docs, id_col, text_col)
     full = sort(kept.join(sets, "k").select("h", "i", "j", "own", "k", "root", "sig", "s"))
-    return full.mapInArrow(lambda it: _joining(it, percent), "a long, b long")
+    more, _ = saved(full.mapInArrow(lambda it: _joining(it, percent), "a long, b long"), "more")
+    discard(classes.sparkSession, kept_path, sets_path)
+    return more
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
@@ -273,19 +277,19 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataF
     )
     classes, _ = saved(classes, "classes")
     members = classes.select("k", F.explode("bands").alias("h"))
-    buckets, _ = saved(members.groupBy("h").agg(F.min("k").alias("c"), F.count("*").alias("m")).where("m > 1"), "buckets")
-    held, _ = saved(members.join(buckets, "h").select("h", "k", "m"), "held")
+    buckets, buckets_path = saved(members.groupBy("h").agg(F.min("k").alias("c"), F.count("*").alias("m")).where("m > 1"), "buckets")
+    held, held_path = saved(members.join(buckets, "h").select("h", "k", "m"), "held")
     mates = held.groupBy("k").agg(F.sum("m").alias("mates"))
     centres = held.join(mates, "k").groupBy("h").agg(F.max(F.struct("mates", "k")).alias("c")).select("h", "c.k")
     stars = held.join(centres.withColumnRenamed("k", "c"), "h").where("k <> c").select(F.col("k").alias("a"), F.col("c").alias("b")).distinct()
-    links, _ = saved(_confirm(stars, classes, docs, id_col, text_col, percent), "links")
+    links = _confirm(stars, classes, docs, id_col, text_col, percent)
     found, _ = saved(connected_components(links), "found")
 
     others = held.where("m > 2").join(found.withColumnRenamed("node", "k"), "k", "left").select("h", "k", "m", F.coalesce("root", "k").alias("root"))
-    others, _ = saved(others, "others")
+    others, others_path = saved(others, "others")
     split = others.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("h")
     more = _between_components(others.join(split, "h", "left_semi"), classes, docs, id_col, text_col, percent)
-    more, _ = saved(more, "more")
+    discard(docs.sparkSession, buckets_path, held_path, others_path)
     if more.limit(1).count():
         known = found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
         found = connected_components(known.unionAll(more))
