@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import fresh_path, saved, small_batches, within
+from sparkloom.llm.common import discard, fresh_path, saved, small_batches, within
 
 #: Bytes of a record's block in one segment, of an HTTP chunk, and of an archive file (about).
 SEGMENT_BYTES, CHUNK_BYTES, FILE_BYTES = 32 << 10, 8 << 10, 16 << 20
@@ -153,10 +153,10 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     small_batches(pages.sparkSession)
     html = F.coalesce(F.col(f"`{html_col}`"), F.lit(""))
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("page"), html.alias("html"), F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).alias("n"))
-    slim, _ = saved(rows.select("page", "digest", "n"), "digests")
+    slim, slim_path = saved(rows.select("page", "digest", "n"), "digests")
     groups = slim.where(F.col("n") >= REVISIT_BYTES).groupBy("digest", "n").agg(F.max("page").alias("keep"), F.count("*").alias("rows")).where("rows > 1 and keep is not null").drop("rows")
-    groups, _ = saved(groups, "groups")
-    repeats, _ = saved(slim.groupBy("page", "digest").agg(F.count("*").alias("copies")).where("copies > 1"), "repeats")
+    groups, groups_path = saved(groups, "groups")
+    repeats, repeats_path = saved(slim.groupBy("page", "digest").agg(F.count("*").alias("copies")).where("copies > 1"), "repeats")
     named = _numbered(rows, repeats) if repeats.limit(1).count() else rows.withColumn("nth", F.lit(1).cast("long"))
     joined = named.join(F.broadcast(groups) if within(groups, BROADCAST_ROWS) else groups, ["digest", "n"], "left")
     name = lambda page, nth: F.concat(F.lit("urn:x-record:"), F.coalesce(page.cast("string"), F.lit("null")), F.lit("."), nth.cast("string"), F.lit("."), F.left("digest", F.lit(8)))
@@ -169,6 +169,7 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     # an archive a row and a row a file: files are bounded without another exchange
     records = records.select(F.col("value").cast("string").alias("value"))
     records.write.options(lineSep="\r\n\r\n", compression="gzip", maxRecordsPerFile=1).text(path)
+    discard(pages.sparkSession, slim_path, groups_path, repeats_path)
 
 
 def _numbered(rows: DataFrame, repeats: DataFrame) -> DataFrame:
