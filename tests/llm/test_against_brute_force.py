@@ -281,6 +281,28 @@ def test_languages(spark):
     assert identify(frame(spark, [], "doc_id long, text string, lang string")).count() == 0
 
 
+def test_texts_without_ids_are_sampled_by_text(spark):
+    from sparkloom.llm.langid import identify
+
+    rng = random.Random(6)
+    en, es = "the of and that with from which were".split(), "que los para una como pero más este".split()
+    text = lambda words: " ".join(rng.choice(words) for _ in range(30))
+    rows = [(None, text(en), "en") for _ in range(1500)] + [(i, text(es), "es") for i in range(1500)]
+    got = identify(frame(spark, rows, "doc_id long, text string, lang string")).groupBy("doc_id", "lang_pred").count().collect()
+    assert sum(r["count"] for r in got if (r["doc_id"] is None) == (r["lang_pred"] == "en")) >= 2950
+
+
+def test_cuts_of_long_texts_change_no_feature(monkeypatch):
+    from sparkloom.llm import langid
+
+    rng = random.Random(7)
+    text = "".join(rng.choice("abcé 1 .") for _ in range(1000))
+    whole = langid.features(text)
+    for step in (1, 7, 100):
+        monkeypatch.setattr(langid, "_STEP", step)
+        assert (langid.features(text) == whole).all()
+
+
 def test_foreign_and_junk_texts_are_rejected(spark):
     import base64
 
@@ -390,6 +412,43 @@ def test_licences(spark):
     assert scan_licenses(frame(spark, [])).count() == 0
 
 
+def licences_by_hand(rows, templates, share=0.75):
+    """(doc_id, license, shingles held, all) by looking at every text for every template."""
+    import re
+
+    words = lambda t: re.findall("[a-z0-9]+", (t or "").lower())
+    out = set()
+    for doc_id, text in rows:
+        own = words(text)
+        for name, template in templates.items():
+            n = min(5, len(words(template)))
+            cut = lambda w, n=n: {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+            wanted = cut(words(template))
+            held = len(wanted & cut(own))
+            if held >= share * len(wanted):
+                out.add((doc_id, name, held, len(wanted)))
+    return out
+
+
+def test_licences_at_all_shares(spark):
+    """Templates with words changed, dropped, added and moved apart: no more than one in a hundred is missed."""
+    from sparkloom.llm.licenses import TEMPLATES, scan_licenses
+
+    rng = random.Random(8)
+    rows = [(None, None), (1, ""), (2, TEMPLATES["MIT"]), (2, TEMPLATES["MIT"]), (2, TEMPLATES["BSD"]), (None, TEMPLATES["MIT"])]
+    for i in range(600):
+        words = rng.choice(list(TEMPLATES.values())).split()
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(words))
+            words[k : k + rng.randint(0, 1)] = [rng.choice(["other", "of the", "x"])] * rng.choice([0, 1, 1, 3, 60])
+        filler = [rng.choice("some words that are not from a licence and go on".split()) for _ in range(rng.randint(0, 200))]
+        at = rng.randint(0, len(filler))
+        rows.append((10 + i, " ".join([*filler[:at], *words, *filler[at:]])))
+    got = {(r["doc_id"], r["license"], r["n_held"], r["n_shingles"]) for r in scan_licenses(frame(spark, rows)).collect()}
+    want = licences_by_hand(rows, TEMPLATES)
+    assert got <= want and len(want - got) <= len(want) // 100 and len(want) > 300
+
+
 def test_altered_licences_are_found_at_every_alignment(spark):
     from sparkloom.llm.licenses import TEMPLATES, scan_licenses
 
