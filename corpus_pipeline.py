@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import saved, table
+from sparkloom.llm.common import discard, saved, table
 from sparkloom.llm.decontaminate import without_contaminated
 from sparkloom.llm.langid import accepted
 from sparkloom.llm.near_dedup import first_of_groups
@@ -52,8 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents, each written and read again; what a stage kept is deleted when the next has read it."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        docs, _ = saved(stage(spark, docs, sf_dir), name)
+        docs, path = saved(stage(spark, docs, sf_dir), name)
+        discard(spark, *before)
+        before = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
