@@ -113,14 +113,14 @@ def confusion_matrix(spark, d):
     return dataset.confusion(_ruled(spark, d))
 
 
-@query(r"""WITH w AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(split_part(text, chr(10), 1))), '[\p{L}\p{N}_]{2,}') AS w FROM documents),
+@query(r"""WITH w AS (SELECT doc_id, regexp_extract_all(strip_accents(lower(coalesce(text, ''))), '[\p{L}\p{N}_]{2,}') AS w FROM documents),
 t AS (SELECT doc_id, unnest(w) AS term FROM w UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM w WHERE len(w) > 1),
 c AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY ALL), f AS (SELECT term, count(*) AS df FROM c GROUP BY term),
 x AS (SELECT doc_id, term, (1 + ln(tf)) * (ln((1.0 + (SELECT count(*) FROM documents)) / (1 + df)) + 1) AS w FROM c JOIN f USING (term))
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 5) AS weight FROM x""")
 def tfidf_weights(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", F.substring_index("text", "\n", 1).alias("title"))
-    return dataset.tfidf(docs, "doc_id", "title").select("doc_id", "term", F.round("weight", 5).alias("weight"))
+    docs = _t(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return dataset.tfidf(docs, "doc_id", "text").select("doc_id", "term", F.round("weight", 5).alias("weight"))
 
 
 @query()
