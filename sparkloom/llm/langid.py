@@ -29,6 +29,8 @@ from sparkloom.llm.common import small_batches
 SAMPLE_PER_LANGUAGE, SAMPLE_TOTAL = 800, 8_000
 BUCKETS, DIMENSIONS, ORDERS = 1 << 14, 16, (1, 2, 3)
 EPOCHS, RATE = 6, 0.5
+#: How far, times the rate, one text may move its own mean embedding: what bounds the step of texts in which few n-grams prevail.
+GAIN = 1.0
 CALIBRATION_SHARE = 4  # one sampled document of so many
 #: Share of well-labelled calibration documents that rejection may cost, and its least score.
 REJECTED_SHARE, SURELY_KEPT = 0.005, 0.5
@@ -147,7 +149,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], shuffled: list[tuple[n
             back = w @ p
             w -= rate * np.outer(mean, p)
             b -= rate * p
-            e[at] -= rate * (part * len(at))[:, None] * back
+            e[at] -= rate * (part * min(len(at), GAIN / (part @ part)))[:, None] * back
     model = Model(languages, e, w, b)
     model.learn_likelihoods([(y[i], rows[i][1], rows[i][2]) for i in fit])
     _calibrate(model, [(y[i], rows[i][1], share[i], rows[i][2]) for i in held], list(shuffled))

@@ -292,6 +292,27 @@ def test_texts_without_ids_are_sampled_by_text(spark):
     assert sum(r["count"] for r in got if (r["doc_id"] is None) == (r["lang_pred"] == "en")) >= 2950
 
 
+def test_training_stays_finite_on_uneven_texts():
+    """Texts of very many n-grams, and of very few, don't make the weights grow without bound."""
+    import numpy as np
+
+    from sparkloom.llm import langid
+
+    rng = random.Random(8)
+    rows = []
+    for i in range(400):
+        words = ("the of and that" if i % 2 else "que los para una").split()
+        text = " ".join(rng.choice(words) for _ in range(20)) + " " + ("x" * 3000 if i % 5 == 0 else "".join(chr(rng.randint(97, 0x17F)) for _ in range(4000)) if i % 7 == 0 else "")
+        counts = langid.features(text)
+        at = np.flatnonzero(counts)
+        rows.append(("en" if i % 2 else "es", at, counts[at].astype(float)))
+    with np.errstate(all="raise", under="ignore"):
+        model = langid.train(rows)
+    assert np.abs(model.weights).max() < 100 and np.abs(model.embedding).max() < 1000
+    right = [model.languages[int(model.scores(langid._dense(at, n)).argmax())] == lang for lang, at, n in rows]
+    assert sum(right) >= 0.97 * len(right)
+
+
 def test_cuts_of_long_texts_change_no_feature(monkeypatch):
     from sparkloom.llm import langid
 
