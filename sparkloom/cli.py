@@ -1,4 +1,4 @@
-"""Command line: one JSON answer on standard output, exit code 0 or 1."""
+"""Command line: one JSON answer (or, if asked, text) on standard output, exit code 0 or 1."""
 
 from __future__ import annotations
 
@@ -9,7 +9,8 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkloom.functions.documents import canonical_text
+from sparkloom.functions.documents import BUNDLE, canonical_text, parsed
+from sparkloom.functions.render import bundle_text, citation_text
 from sparkloom.operators import acquire, assurance, citations, claims, review
 from sparkloom.operators.registry import RegistryError, source_counts
 from sparkloom.operators.store import State, StateError
@@ -31,6 +32,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--registry", default="sources/registry.json")
     p.add_argument("--state", default="state")
     p.add_argument("--delay", type=float, default=1.0)
+    p.add_argument("--text", action="store_true", help="citations and bundles as text for a person")
     sub = p.add_subparsers(dest="command", required=True)
     for name in ("registry", "doctor", "status"):
         sub.add_parser(name)
@@ -116,8 +118,9 @@ def answer(spark: SparkSession, a, get=http_get) -> dict:
         selectors = [(a.source, a.url, a.ref)] if a.command == "cite" else [tuple(c) for c in a.cite]
         cited = citations.citations(spark.createDataFrame([(1, *s) for s in selectors], "case int, source_id string, requested_url string, block_ref string"), *ledgers)
         if a.command == "cite":
-            return _told(cited.select(canonical_text(F.col("item")).alias("citation"), "error"), "citation")
-        return _told(citations.build_bundles(cited, ["case"], a.max_items, a.max_chars), "bundle")
+            return _told(cited.select(canonical_text(F.col("item")).alias("citation"), citation_text(F.col("item")).alias("as_text"), "error"), "citation", a.text)
+        made = citations.build_bundles(cited, ["case"], a.max_items, a.max_chars)
+        return _told(made.withColumn("as_text", bundle_text(parsed(F.col("bundle"), BUNDLE))), "bundle", a.text)
     case = _case(spark, state, a)
     if a.command == "verify-bundle":
         return _told(case, None)
@@ -136,10 +139,12 @@ def answer(spark: SparkSession, a, get=http_get) -> dict:
     return _told(review.evaluate_cases(compiled).drop("bundle", "request", "response", "review", "candidates", "case", "status"), "*")
 
 
-def _told(df: DataFrame, field: str | None) -> dict:
+def _told(df: DataFrame, field: str | None, text: bool = False) -> dict:
     row = df.first().asDict(recursive=True)
     if row["error"] is not None:
         return {"ok": False, "error": row["error"]}
+    if text:
+        return {"ok": True, "text": row["as_text"]}
     if field == "*":
         return {"ok": True} | {k: v for k, v in row.items() if k != "error"}
     value = row[field] if field else None
@@ -153,7 +158,7 @@ def main(argv: list[str] | None = None) -> int:
         said = answer(spark, a)
     except (StateError, RegistryError, ValueError) as e:
         said = {"ok": False, "error": str(e)}
-    print(as_json(said))
+    print(said["text"] if "text" in said else as_json(said))
     return 0 if said["ok"] else 1
 
 

@@ -428,3 +428,20 @@ def test_the_command_line(spark, state, bundle, request_text, registry_path, tmp
     (tmp_path / "bad.json").write_text("{")
     with pytest.raises(ValueError):
         run("verify-bundle", str(tmp_path / "bad.json"))
+
+
+def test_texts_for_people(spark, state, bundle):
+    from sparkloom.functions import render
+    from sparkloom.functions.documents import BUNDLE, parsed
+    from sparkloom.operators.citations import document_index
+
+    b = json.loads(bundle)
+    item = b["items"][0]
+    df = spark.createDataFrame([(bundle,)], "bundle string").select(parsed(F.col("bundle"), BUNDLE).alias("b"))
+    whole, cited = df.select(render.bundle_text(F.col("b")), render.citation_text(F.col("b.items")[0])).first()
+    assert whole.startswith(f"EVIDENCE BUNDLE — external data only\nBundle: {b['bundle_id']}\n") and f"\n\n[{item['evidence_id']}] The one\n" in whole and whole.endswith(FINDING)
+    assert "Heading: Research > Finding\n" in cited and f"\n\n{FINDING}\n\nProvenance:\n" in cited
+    row = document_index(*ledgers(state)).select(F.struct("*").alias("d")).select(render.indexed_text(F.col("d"))).first()[0]
+    assert row.startswith("[lab] The one\nURL: https://lab.example.org/news/") and "| status: NEW\n" in row
+    none = spark.createDataFrame([("NO_CLAIMS",)], "s string").select(render.result_text(F.col("s"), F.array().cast("array<struct<claim_id:string,claim_text:string,citations:array<string>>>"))).first()[0]
+    assert none == "Extraction: NO_CLAIMS\nCandidates: 0\nSemantic support: UNASSESSED\nSemantic truth: UNASSESSED"
