@@ -12,7 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructType
 
 from sparkloom.functions.urls import resolve
 
@@ -177,7 +177,7 @@ def page_of(html: str | None, url: str | None = None) -> dict:
     return out | {"authors": list(dict.fromkeys(authors)), "markdown": page.markdown()}
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(ArrayType(StringType()))
 def hrefs(html: pd.Series) -> pd.Series:
     """links_of() over a column; none for null."""
     return html.map(lambda x: [] if x is None else links_of(x))
