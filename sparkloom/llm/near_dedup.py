@@ -32,7 +32,7 @@ ROWS, BANDS = 4, 32
 #: A signature keeps eight bits of each minimum; pairs under this estimate are not confirmed.
 #: At 0.75 and 128 minima the estimate has a standard deviation of 0.038.
 LEAST_ESTIMATE = 0.55
-#: Ids that may be broadcast (8 bytes each); more go by a shuffled join.
+#: Ids that may be broadcast (8 bytes each, or 16 with a text's print); more go by a shuffled join.
 BROADCAST_IDS = 2_000_000
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -333,6 +333,7 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row")
     own = docs.select(row, F.col(f"`{id_col}`").cast("long").alias("own"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("print"))
     same = F.col("own").eqNullSafe(F.col("id")) & (F.col("print") == F.col("t"))
+    gone = F.broadcast(gone) if within(gone, BROADCAST_IDS) else gone  # or else whole texts are exchanged
     left = own.join(gone, same, "left_anti")
     if twice.limit(1).count():
         one = left.join(twice, same, "left_semi").groupBy("own", "print").agg(F.min("row").alias("row")).select("row", "own", "print")
