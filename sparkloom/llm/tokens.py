@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text in a group (or one batch, if that is larger); pieces encoded by one call.
-GROUP_BYTES, CALL_PIECES = 8 << 20, 10_000
+GROUP_BYTES, CALL_PIECES = 4 << 20, 10_000
 #: Pieces whose ids a worker keeps, and the longest of them in bytes.
 KEPT_WORDS, KEPT_BYTES = 300_000, 40
 #: White space on which Arrow and the tokenizers' patterns may differ, and the signs; such texts are encoded whole.
