@@ -76,8 +76,20 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 2)
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkloom.llm.fim import fim_round_trip
+
+    return fim_round_trip(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkloom.llm.merkle import tampered_check
+
+    return tampered_check(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_pii, op2_token_files, op3_decontaminate, op4_sharding, op5_language, op6_warc, op7_licenses, op8_near_dedup, op9_nearest, op10_packing)
+    found = (op1_pii, op2_token_files, op3_decontaminate, op4_sharding, op5_language, op6_warc, op7_licenses, op8_near_dedup, op9_nearest, op10_packing, op11_fim, op12_merkle)
     return {f.__name__: f for f in found}
 
 
@@ -129,6 +141,53 @@ h AS (SELECT r, license, count(DISTINCT x.s) AS n_held, min(k) - 1 AS start_word
 SELECT doc_id, license, n_held, n_shingles, n_held / n_shingles AS share, start_word FROM h JOIN n USING (license) JOIN d USING (r) WHERE n_held >= {LEAST_SHARE} * n_shingles"""
 
 
+_FIM_SQL = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+k AS (SELECT doc_id, t, u, len(u) AS n, [('0x' || h[8 * i + 1 : 8 * i + 8])::UBIGINT for i in range(4)] AS h FROM d),
+c AS (SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+ CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain' WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM k),
+x AS (SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1 : b], '') AS m, array_to_string(u[b + 1 :], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+ sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE '<P>' || p || '<S>' || s || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256 FROM x"""
+
+
+#: Of the decimal id: its characters enter one by one, each followed by eight shifts.
+_CRC32_SQL = """xor(4294967295, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), c -> [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+ (a, x) -> CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END))"""
+
+
+def _merkle_sql(levels: int = 7) -> str:
+    """The trees level by level, for groups of at most 16 ** levels leaves; every leaf looks its run up at each level."""
+    field = lambda x: f"coalesce(strlen({x}::VARCHAR) || ':' || {x}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+    def forest(name: str, start: str) -> str:
+        out = [f"{name}0 AS MATERIALIZED ({start})"]
+        for k in range(levels):
+            out.append(f"{name}{k + 1} AS MATERIALIZED (SELECT tree, i // 16 AS i, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h, (any_value(n) + 15) // 16 AS n, any_value(n) > 1 AS run, string_agg(h, '' ORDER BY i) AS kids FROM {name}{k} GROUP BY tree, i // 16)")
+        return ",\n".join(out)
+
+    def climb(start: str, name: str, tree: str, at: str) -> tuple[str, str]:
+        steps, last = [], start
+        for k in range(levels):
+            left, right = f"kids[1 : 64 * (({at} // {16**k}) % 16)]", f"kids[64 * (({at} // {16**k}) % 16) + 65 :]"
+            steps.append(f"{start}{name}{k} AS MATERIALIZED (SELECT p.* REPLACE (CASE WHEN r.run THEN sha256({left} || now || {right}) ELSE now END AS now, CASE WHEN r.run THEN proof || {left} || {right} ELSE proof END AS proof) FROM {last} p JOIN {name}{k + 1} r ON r.tree = p.{tree} AND r.i = p.{at} // {16 ** (k + 1)})")
+            last = f"{start}{name}{k}"
+        return ",\n".join(steps), last
+
+    lower_steps, below = climb("p", "t", "tree", "i")
+    upper_steps, done = climb(below, "u", "zero", "tree")
+    return f"""WITH f AS (SELECT doc_id, {leaf("text")} AS leaf, CASE WHEN {_CRC32_SQL} % 5 = 0 THEN {leaf(lower)} END AS changed,
+ dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, source FROM documents),
+l AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM f),
+{forest("t", "SELECT tree, i, leaf AS h, n, false AS run, '' AS kids FROM l")},
+{forest("u", f"SELECT 0 AS tree, tree AS i, h, count(*) OVER () AS n, false AS run, '' AS kids FROM t{levels}")},
+p AS (SELECT doc_id, leaf, tree, i, 0 AS zero, coalesce(changed, leaf) AS now, '' AS proof FROM l),
+{lower_steps},
+{upper_steps}
+SELECT doc_id, leaf, s.h AS subroot, r.h AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = r.h AS verified FROM {done} p JOIN t{levels} s USING (tree) CROSS JOIN u{levels} r"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express a query; the others are tested against plain restatements."""
-    return {"op3_decontaminate": _CONTAMINATION_SQL, "op6_warc": _WARC_SQL, "op7_licenses": _licences_sql(), "op8_near_dedup": _DUPLICATES_SQL, "op9_nearest": _NEAREST_SQL}
+    return {"op3_decontaminate": _CONTAMINATION_SQL, "op6_warc": _WARC_SQL, "op7_licenses": _licences_sql(), "op8_near_dedup": _DUPLICATES_SQL, "op9_nearest": _NEAREST_SQL, "op11_fim": _FIM_SQL, "op12_merkle": _merkle_sql()}

@@ -163,3 +163,60 @@ def archives(rows):
             stored.add(body)
         out.append((page, len(body), hashlib.sha1(body).hexdigest(), "revisit" if revisit else "response", keep if revisit else None))
     return out
+
+
+def fill_in_middle(rows):
+    """(doc_id, n, form, prefix_chars, middle_chars, output, text), by lists of units."""
+    out = []
+    for doc_id, text in rows:
+        text = text or ""
+        units = re.findall("[A-Za-z]+|[^A-Za-z]", text)
+        digits = hashlib.sha256(f"1:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+        h = [int(digits[8 * k : 8 * k + 8], 16) for k in range(4)]
+        a, b = sorted(x % (len(units) + 1) for x in h[:2])
+        p, m, s = "".join(units[:a]), "".join(units[a:b]), "".join(units[b:])
+        if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+            out.append((doc_id, len(units), "plain", None, None, text, text))
+        elif h[3] % 100 < 20:
+            out.append((doc_id, len(units), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}", text))
+        else:
+            out.append((doc_id, len(units), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}", text))
+    return out
+
+
+def merkle(rows, arity=16):
+    """rows: (doc_id, source, lang, n_chars, text); the contract's result for each."""
+    h = lambda parts: hashlib.sha256("".join(parts).encode()).hexdigest()
+    field = lambda x: "-" if x is None else f"{len(str(x).encode())}:{x}"
+    lower = lambda t: None if t is None else re.sub("[A-Z]", lambda m: m[0].lower(), t)
+
+    def tree(nodes):
+        """The root, and for each node its (position, run) level by level."""
+        paths, at, level = [[] for _ in nodes], list(range(len(nodes))), nodes
+        while len(level) > 1:
+            runs = [level[i : i + arity] for i in range(0, len(level), arity)]
+            for k, i in enumerate(at):
+                paths[k].append((i % arity, runs[i // arity]))
+            at, level = [i // arity for i in at], [h(r) for r in runs]
+        return level[0], paths
+
+    groups = defaultdict(list)
+    for r in rows:
+        tampered = r[0] is not None and zlib.crc32(str(r[0]).encode()) % 5 == 0
+        leaf = h(map(field, r))
+        groups[r[1]].append((r[0], leaf, h(map(field, (*r[:4], lower(r[4])))) if tampered else leaf))
+    names = sorted(groups, key=lambda x: (x is not None, (x or "").encode()))
+    trees = {}
+    for name in names:
+        groups[name].sort(key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        trees[name] = tree([x[1] for x in groups[name]])
+    root, upper = tree([trees[n][0] for n in names]) if names else (None, [])
+    out = []
+    for name, above in zip(names, upper, strict=True):
+        for (doc_id, leaf, now), path in zip(groups[name], trees[name][1], strict=True):
+            proof, seen = [], now
+            for pos, run in path + above:
+                proof += run[:pos] + run[pos + 1 :]
+                seen = h([*run[:pos], seen, *run[pos + 1 :]])
+            out.append((doc_id, leaf, trees[name][0], root, h(proof), seen, seen == root))
+    return out
