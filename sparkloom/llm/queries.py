@@ -151,8 +151,8 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
 
 
 #: Of the decimal id: its characters enter one by one, each followed by eight shifts.
-_CRC32_SQL = """xor(4294967295, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), c -> [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
- (a, x) -> CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END))"""
+_CRC32_SQL = """xor(4294967295, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+ lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END))"""
 
 
 def _merkle_sql(levels: int = 7) -> str:
@@ -170,7 +170,7 @@ def _merkle_sql(levels: int = 7) -> str:
     def climb(start: str, name: str, tree: str, at: str) -> tuple[str, str]:
         steps, last = [], start
         for k in range(levels):
-            left, right = f"kids[1 : 64 * (({at} // {16**k}) % 16)]", f"kids[64 * (({at} // {16**k}) % 16) + 65 :]"
+            left, right = f"kids[1 : 64 * ((p.{at} // {16**k}) % 16)]", f"kids[64 * ((p.{at} // {16**k}) % 16) + 65 :]"
             steps.append(f"{start}{name}{k} AS MATERIALIZED (SELECT p.* REPLACE (CASE WHEN r.run THEN sha256({left} || now || {right}) ELSE now END AS now, CASE WHEN r.run THEN proof || {left} || {right} ELSE proof END AS proof) FROM {last} p JOIN {name}{k + 1} r ON r.tree = p.{tree} AND r.i = p.{at} // {16 ** (k + 1)})")
             last = f"{start}{name}{k}"
         return ",\n".join(steps), last
