@@ -88,8 +88,14 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tampered_check(table(spark, sf_dir, "documents"))
 
 
+def op13_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from sparkloom.llm.repeats import repeat_digests
+
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_pii, op2_token_files, op3_decontaminate, op4_sharding, op5_language, op6_warc, op7_licenses, op8_near_dedup, op9_nearest, op10_packing, op11_fim, op12_merkle)
+    found = (op1_pii, op2_token_files, op3_decontaminate, op4_sharding, op5_language, op6_warc, op7_licenses, op8_near_dedup, op9_nearest, op10_packing, op11_fim, op12_merkle, op13_repeats)
     return {f.__name__: f for f in found}
 
 
@@ -188,6 +194,19 @@ p AS (SELECT doc_id, leaf, tree, i, 0 AS zero, coalesce(changed, leaf) AS now, '
 SELECT doc_id, leaf, s.h AS subroot, r.h AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = r.h AS verified FROM {done} p JOIN t{levels} s USING (tree) CROSS JOIN u{levels} r"""
 
 
+#: Every string of 400 bytes, by its digest; runs of starts that lie at most 400 apart are one removed run.
+_REPEATS_SQL = """WITH d AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT r, i, md5(array_slice(b, i, i + 399)) AS h FROM (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS i FROM d WHERE octet_length(b) >= 400)),
+s AS (SELECT r, i, i - lag(i) OVER (PARTITION BY r ORDER BY i) AS step FROM (SELECT r, i, count(*) OVER (PARTITION BY h) AS n FROM w) WHERE n > 1),
+g AS (SELECT r, i, count(*) FILTER (step IS NULL OR step > 400) OVER (PARTITION BY r ORDER BY i) AS k FROM s),
+e AS (SELECT r, k, min(i) AS a, max(i) + 399 AS z FROM g GROUP BY r, k),
+c AS (SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) + 1 AS o FROM e),
+p AS (SELECT r, o AS a, a - 1 AS z FROM c UNION ALL SELECT r, max(z) + 1, octet_length(any_value(b)) FROM c JOIN d USING (r) GROUP BY r),
+k AS (SELECT r, sha256(unhex(coalesce(string_agg(hex(array_slice(b, a, z)), '' ORDER BY a) FILTER (z >= a), ''))) AS h FROM p JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, sum(z - a + 1)::BIGINT AS n_removed, count(*) AS n_spans FROM e GROUP BY r)
+SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, coalesce(k.h, sha256(b)) AS kept_sha256 FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL where it can express a query; the others are tested against plain restatements."""
-    return {"op3_decontaminate": _CONTAMINATION_SQL, "op6_warc": _WARC_SQL, "op7_licenses": _licences_sql(), "op8_near_dedup": _DUPLICATES_SQL, "op9_nearest": _NEAREST_SQL, "op11_fim": _FIM_SQL, "op12_merkle": _merkle_sql()}
+    return {"op3_decontaminate": _CONTAMINATION_SQL, "op6_warc": _WARC_SQL, "op7_licenses": _licences_sql(), "op8_near_dedup": _DUPLICATES_SQL, "op9_nearest": _NEAREST_SQL, "op11_fim": _FIM_SQL, "op12_merkle": _merkle_sql(), "op13_repeats": _REPEATS_SQL}

@@ -220,3 +220,19 @@ def merkle(rows, arity=16):
                 seen = h([*run[:pos], seen, *run[pos + 1 :]])
             out.append((doc_id, leaf, trees[name][0], root, h(proof), seen, seen == root))
     return out
+
+
+def repeats(rows, length=400):
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256), by all strings of the length."""
+    texts = [(t or "").encode() for _, t in rows]
+    counts = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
+    out = []
+    for (doc_id, _), t in zip(rows, texts, strict=True):
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if counts[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        kept = bytes(x for x, g in zip(t, gone, strict=True) if not g)
+        runs = sum(g and not (i and gone[i - 1]) for i, g in enumerate(gone))
+        out.append((doc_id, len(t), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
+    return out
