@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from sparkloom.functions.urls import resolve
+from sparkloom.sources import content
 
 #: Limits of fetched documents.
 HTML_BYTES, ROBOTS_BYTES, REDIRECTS = 4 << 20, 512 << 10, 4
@@ -31,9 +32,8 @@ PRECEDENCE = {
     "description": [("ld", ("description",)), ("meta", ("description", "og:description"))],
 }
 AUTHOR_KEYS = ("author", "article:author", "byl")
-EXTRACTOR = {"name": "sparkloom-text", "version": "1"}
-_SKIPPED = {"script", "style", "nav", "header", "footer", "aside", "noscript", "template", "svg", "form", "button"}
-_BLOCKS = {"p", "div", "section", "article", "main", "ul", "ol", "table", "blockquote", "pre", "br", "body"}
+EXTRACTOR = {"name": "sparkloom-text", "version": "2"}
+_BLOCKS = {"p", "td", "th", "dt", "dd", "figcaption", "div", "section", "article", "main", "ul", "ol", "table", "blockquote", "pre", "br", "body"}
 
 
 class _Links(HTMLParser):
@@ -53,55 +53,32 @@ def links_of(html: str | None) -> list[str]:
     return parser.found
 
 
-class _Page(HTMLParser):
-    """Declared metadata, and the visible text as Markdown."""
+class _Markdown:
+    """Text of elements as Markdown, from their starts, ends and texts in order."""
 
     def __init__(self):
-        super().__init__()
-        self.lang = self.canonical = None
-        self.meta: dict[str, list[str]] = {}
-        self.title, self.scripts, self.out = "", [], []
-        self.skip, self.in_title, self.in_json = 0, False, False
+        self.out: list[str] = []
         self.pre, self.row, self.rows = 0, None, 0
 
-    def handle_starttag(self, tag, attrs):
-        a = {k: v or "" for k, v in reversed(attrs)}
-        if tag == "html" and not self.lang:
-            self.lang = a.get("lang") or None
-        elif tag == "link" and "canonical" in a.get("rel", "").lower().split() and not self.canonical:
-            self.canonical = a.get("href") or None
-        elif tag == "meta":
-            name = next((a[k] for k in ("property", "name", "itemprop", "http-equiv") if a.get(k)), None)
-            if name and a.get("content"):
-                self.meta.setdefault(name.strip().lower(), []).append(a["content"].strip())
-        elif tag == "title":
-            self.in_title = True
-        elif tag == "script" and a.get("type", "").lower() == "application/ld+json":
-            self.in_json = True
-            self.scripts.append("")
-        self.skip += tag in _SKIPPED
-        if not self.skip:
-            if tag == "table":
-                self.rows = 0
-            elif tag == "pre":
-                self.pre += 1
-            if tag == "tr":
-                self.row = []
-            elif tag in ("td", "th") and self.row is not None:
-                self.row.append("")
-            elif tag == "pre":
-                self.out.append("\n\n```\n")
-            elif tag in _BLOCKS and self.row is None:
-                self.out.append("\n\n")
-            elif tag == "li":
-                self.out.append("\n- ")
-            elif len(tag) == 2 and tag[0] == "h" and tag[1] in "123456":
-                self.out.append("\n\n" + "#" * int(tag[1]) + " ")
-
-    def handle_endtag(self, tag):
-        self.in_title &= tag != "title"
-        self.in_json &= tag != "script"
-        self.skip -= tag in _SKIPPED and self.skip > 0
+    def start(self, tag):
+        if tag == "table":
+            self.rows = 0
+        elif tag == "pre":
+            self.pre += 1
+        if tag == "tr":
+            self.row = []
+        elif tag in ("td", "th") and self.row is not None:
+            self.row.append("")
+        elif tag == "pre":
+            self.out.append("\n\n```\n")
+        elif tag in _BLOCKS and self.row is None:
+            self.out.append("\n\n")
+        elif tag == "li":
+            self.out.append("\n- ")
+        elif len(tag) == 2 and tag[0] == "h" and tag[1] in "123456":
+            self.out.append("\n\n" + "#" * int(tag[1]) + " ")
+
+    def end(self, tag):
         if tag == "tr" and self.row is not None:
             cells = [" ".join(c.split()).replace("|", "\\|") for c in self.row]
             self.out.append("\n| " + " | ".join(cells) + " |" + ("\n|" + " --- |" * len(cells) if not self.rows else "") if cells else "")
@@ -109,27 +86,53 @@ class _Page(HTMLParser):
         elif tag == "pre" and self.pre:
             self.pre -= 1
             self.out.append("\n```\n\n")
-        elif not self.skip and self.row is None and (tag in _BLOCKS or tag[:1] == "h" and tag[1:].isdigit()):
+        elif self.row is None and (tag in _BLOCKS or tag[:1] == "h" and tag[1:].isdigit()):
             self.out.append("\n\n")
 
-    def handle_data(self, data):
-        if self.in_json:
-            self.scripts[-1] += data
-        elif self.in_title:
-            self.title += data
-        elif not self.skip and self.row:
+    def text(self, data):
+        if self.row:
             self.row[-1] += data
-        elif not self.skip and self.pre:
+        elif self.pre:
             self.out.append(data)
-        elif not self.skip and self.row is None:
+        elif self.row is None:
             self.out.append((" " if data[:1].isspace() else "") + " ".join(data.split()) + (" " if data[-1:].isspace() else "") if data.strip() else " ")
 
-    def markdown(self) -> str:
+    def written(self) -> str:
         """Composed text, without white space at the start of lines outside code."""
         parts = "".join(self.out).split("```")
         return unicodedata.normalize("NFC", "```".join(p if i % 2 else re.sub(r"\n[ \t]+", "\n", re.sub(r"[ \t]+", " ", p)) for i, p in enumerate(parts)))
 
 
+class _Declared:
+    """What a page's elements declare: meta tags, JSON-LD, title, language, canonical link."""
+
+    def __init__(self, root: content.Node):
+        self.meta: dict[str, list[str]] = {}
+        self.scripts: list[str] = []
+        titles, canonical = [], []
+        for node in root.below():
+            a = node.attrs
+            if node.tag == "link" and "canonical" in a.get("rel", "").lower().split():
+                canonical.append(a.get("href"))
+            elif node.tag == "meta":
+                name = next((a[k] for k in ("property", "name", "itemprop", "http-equiv") if a.get(k)), None)
+                if name and a.get("content"):
+                    self.meta.setdefault(name.strip().lower(), []).append(a["content"].strip())
+            elif node.tag == "title":
+                titles.append(node.text())
+            elif node.tag == "script" and a.get("type", "").lower() == "application/ld+json":
+                self.scripts.append("".join(c for c in node.children if isinstance(c, str)))
+        self.own = {"title": " ".join(titles), "lang": root.attrs.get("lang") or None, "canonical": next((x for x in canonical if x), None)}
+
+
+def main_markdown(root: content.Node) -> str:
+    """The page's main content as Markdown."""
+    out = _Markdown()
+    for kind, value in content.events(content.content_of(root)):
+        getattr(out, kind)(value)
+    return out.written()
+
+
 def _nodes(value) -> Iterator[dict]:
     """Objects of lists and of @graph, outer ones first."""
     if isinstance(value, list):
@@ -154,19 +157,20 @@ def _is_article(node: dict) -> bool:
 
 
 def page_of(html: str | None, url: str | None = None) -> dict:
-    """The fields of PRECEDENCE, authors in order without repeats, and the visible text as Markdown; url resolves the canonical link."""
-    page = _Page()
-    page.feed(html or "")
-    page.close()
+    """The fields of PRECEDENCE, authors in order without repeats, and the main content as Markdown; url resolves the canonical link.
+
+    A title, an author and a date that are declared nowhere are taken from the page: its first heading, its byline, its first time element.
+    """
+    root = content.tree_of(html)
+    declared = _Declared(root)
     nodes = []
-    for text in page.scripts:
+    for text in declared.scripts:
         try:
             nodes += _nodes(json.loads(text))
         except ValueError:
             continue
     nodes = [n for n in nodes if _is_article(n)] or nodes
-    own = {"title": page.title, "lang": page.lang, "canonical": page.canonical}
-    places = {"ld": lambda keys: [n.get(k) for n in nodes for k in keys], "meta": lambda keys: [v for k in keys for v in page.meta.get(k, [])], "page": lambda keys: [own[k] for k in keys]}
+    places = {"ld": lambda keys: [n.get(k) for n in nodes for k in keys], "meta": lambda keys: [v for k in keys for v in declared.meta.get(k, [])], "page": lambda keys: [declared.own[k] for k in keys]}
     out = {}
     for name, rules in PRECEDENCE.items():
         values = (v for place, keys in rules for v in places[place](keys))
@@ -174,7 +178,9 @@ def page_of(html: str | None, url: str | None = None) -> dict:
     if out["declared_canonical_url"]:
         out["declared_canonical_url"] = resolve(url, out["declared_canonical_url"])
     authors = [a for n in nodes for a in _authors(n.get("author"))] + _authors(places["meta"](AUTHOR_KEYS))
-    return out | {"authors": list(dict.fromkeys(authors)), "markdown": page.markdown()}
+    out["title"] = out["title"] or content.title_of(root, content.content_of(root))
+    out["published_at"] = out["published_at"] or content.date_of(root)
+    return out | {"authors": list(dict.fromkeys(authors)) or _authors(content.author_of(root)), "markdown": main_markdown(root)}
 
 
 @F.pandas_udf(ArrayType(StringType()))

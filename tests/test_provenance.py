@@ -172,7 +172,7 @@ def test_tampered_objects_and_artifacts_fail(spark, state):
     for column, value, message in (("bytes_read", F.lit(1), "byte count mismatch"), ("object_path", F.lit("a/../../b"), "path escapes the state folder"), ("sha256", F.lit("x"), "recorded hash is not a SHA-256")):
         assert {r["error"] for r in store.verified_objects(ingested.withColumn(column, value), state.read("objects")).collect()} == {message}
     assert store.verified_artifacts(normal, artifacts).where("error is not null").count() == 0
-    for column, value, message in (("block_count", F.lit(1), "block count mismatch"), ("extractor_version", F.lit("2"), "extractor does not match the ledger")):
+    for column, value, message in (("block_count", F.lit(1), "block count mismatch"), ("extractor_version", F.lit("0"), "extractor does not match the ledger")):
         assert {r["error"] for r in store.verified_artifacts(normal.withColumn(column, value), artifacts).collect()} == {message}
     bad = normal.where(F.col("requested_url") == PAGE).withColumns({"id": F.col("id") + 100, "normalized_sha256": F.lit("0" * 64)})
     cited = citations.citations(spark.createDataFrame([("lab", PAGE, "b0001")], "source_id string, requested_url string, block_ref string"), normal.unionByName(bad), ingested, artifacts)
