@@ -80,10 +80,25 @@ def dedupe_key(c: Column) -> Column:
     return collapse(F.regexp_replace(out, r"\p{Mn}", ""))
 
 
+@cache
+def _unaccented() -> tuple[str, str]:
+    """Small letters that become another single character without their marks (compatible ones too), and those, by rule over all characters."""
+    pairs = []
+    for code in range(0xA0, 0x20000):
+        if 0xD800 <= code < 0xE000 or 0xAC00 <= code < 0xD7A4:
+            continue
+        c = chr(code)
+        plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
+        if len(plain) == 1 and plain != c and plain.lower() == plain:
+            pairs.append((c, plain))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def strip_accents(c: Column) -> Column:
-    """Lower case without accents, letters of other kinds kept (as the tf-idf analyser wants)."""
-    pairs = [(chr(k), d) for k in range(0xC0, 0x250) if len(d := "".join(x for x in unicodedata.normalize("NFKD", chr(k).lower()) if not unicodedata.combining(x))) == 1 and d != chr(k)]
-    return F.regexp_replace(F.translate(F.lower(c), "".join(a for a, _ in pairs), "".join(b for _, b in pairs)), r"\p{Mn}", "")
+    """Lower case without accents, letters of other kinds kept (as the tf-idf analyser wants). Texts of ASCII alone are lower-cased only."""
+    small = F.lower(c)
+    plain = F.regexp_replace(F.translate(small, *_unaccented()), r"\p{Mn}", "")
+    return F.when(small.rlike(r"[^\x00-\x7F]"), plain).otherwise(small)
 
 
 def normal_lines(c: Column) -> Column:
