@@ -63,3 +63,8 @@ def discard(spark: SparkSession, *paths: str) -> None:
 def within(df: DataFrame, rows: int) -> bool:
     """Whether df has at most so many rows; decides between broadcast and shuffle."""
     return df.agg(F.count("*")).first()[0] <= rows
+
+
+def listed(df: DataFrame, rows: int) -> DataFrame:
+    """The small side of a join with texts: broadcast up to so many rows; beyond, both sides are exchanged, and texts pass by hash tables of this side, unsorted."""
+    return F.broadcast(df) if within(df, rows) else df.hint("shuffle_hash")

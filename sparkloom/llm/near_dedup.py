@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkloom.llm.common import discard, saved, small_batches, within
+from sparkloom.llm.common import discard, listed, saved, small_batches, within
 from sparkloom.llm.components import connected_components
 
 WORDS = 5
@@ -318,7 +318,7 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row of docs for each group of near-duplicates, with all its columns, and all rows without words.
 
     It is that with the smallest id, or, of rows with one id or none, the smallest print of the text;
-    of repeated rows (equal id and text) one stays. Rows go by id and text, so that another text
+    of repeated rows (equal id and text) one stays, whichever it is if their other columns differ. Rows go by id and text, so that another text
     under the same id stays if its own group needs it.
     """
     rows, _ = saved(_grouped(docs, id_col, text_col, percent).where("n > 0").select("id", "t", "root"), "grouped")
@@ -333,9 +333,9 @@ def first_of_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)]).alias("row")
     own = docs.select(row, F.col(f"`{id_col}`").cast("long").alias("own"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("print"))
     same = F.col("own").eqNullSafe(F.col("id")) & (F.col("print") == F.col("t"))
-    gone = F.broadcast(gone) if within(gone, BROADCAST_IDS) else gone  # or else whole texts are exchanged
+    gone = listed(gone, BROADCAST_IDS)
     left = own.join(gone, same, "left_anti")
     if twice.limit(1).count():
-        one = left.join(twice, same, "left_semi").groupBy("own", "print").agg(F.min("row").alias("row")).select("row", "own", "print")
+        one = left.join(twice, same, "left_semi").groupBy("own", "print").agg(F.first("row").alias("row")).select("row", "own", "print")
         left = left.join(twice, same, "left_anti").unionByName(one)
     return left.select(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)])

@@ -145,11 +145,10 @@ def _search(batches, k: int):
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``id, v``: one vector for each id, of finite components that are not all zero."""
+    """``id, v``: the distinct rows with vectors of finite components that are not all zero."""
     v = F.col(vector_col).cast("array<double>")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(v, lambda x: x != 0)
-    rows = vectors.where(F.col(id_col).isNotNull() & F.coalesce(good, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), v.alias("v"))
-    return rows.groupBy("id").agg(F.min("v").alias("v"))
+    return vectors.where(F.col(id_col).isNotNull() & F.coalesce(good, F.lit(False))).select(F.col(id_col).cast("long").alias("id"), v.alias("v")).distinct()
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -157,8 +156,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
 
     All other candidates if there are fewer; ties go to the smaller id. Null, zero and non-finite
     vectors, and null ids, take no part; only vectors of one dimension are compared with one
-    another. Repeated rows count once; of an id with several vectors the smallest counts (by their
-    components in order), among candidates as among queries. A candidate never has its query's id.
+    another. Repeated rows (equal id and vector) count once; each vector of an id with several is a
+    candidate of its own, and of a query id with several the k best of all its vectors' candidates
+    are given. A candidate never has its query's id.
     Other columns are ignored; empty tables give an empty result.
     """
     spark = vectors.sparkSession

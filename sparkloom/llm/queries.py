@@ -104,7 +104,7 @@ g AS (SELECT html, max(page_id) AS keep FROM p WHERE strlen(html) >= 1000 GROUP
 SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest,
  CASE WHEN page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> keep THEN keep END AS refers_to
 FROM p LEFT JOIN g USING (html)"""
-_NEAREST_SQL = """WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+_NEAREST_SQL = """WITH v AS (SELECT DISTINCT vec_id, embedding::DOUBLE[] AS e FROM embeddings
  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
 r AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INT AS rank FROM s)

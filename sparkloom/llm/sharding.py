@@ -5,8 +5,8 @@ boundaries (probes) are laid over the key range; each pass counts the exact byte
 every probe, over all partitions at once, and lays new probes between the two that enclose each
 wanted boundary, until it is met within tolerance. Then the rows are exchanged once.
 
-Frequent texts, of which a group holds more than the tolerance, would be in the way of a boundary;
-there are at most shards / tolerance of them. They are dealt whole to the emptiest shards, largest
+Texts of which a group, or a single one, holds more than half the tolerance would be in the way of a
+boundary; there are at most 2 * shards / tolerance of them. They are dealt whole to the emptiest shards, largest
 first, and the boundaries of the rest fill up each shard. Only a group that is larger than a shard is
 divided: its rows have keys of their own.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.llm.common import saved
 
-#: Allowed difference of a shard boundary from its ideal place, as a share of a shard.
+#: Allowed difference between the sizes of two shards, as half a share of a shard: a boundary is within half of it.
 TOLERANCE = 0.002
 #: Rows (about) of a chunk that is numbered by one task.
 CHUNK_ROWS = 250_000
@@ -121,7 +121,7 @@ def plan_shards(rows: DataFrame, shards: int, tolerance: float) -> Plan:
     total, n = (x or 0 for x in rows.agg(F.sum("size"), F.count("*")).first())
     ideal = total / shards
     groups = rows.groupBy("h").agg(F.sum("size").alias("size"), F.count("*").alias("n"))
-    large = groups.where((F.col("size") > tolerance * ideal) & (F.col("n") > 1)).collect()
+    large = groups.where(F.col("size") > tolerance * ideal / 2).collect()
     loads, frequent = [0] * shards, {}
     for g in sorted(large, key=lambda g: (-g["size"], g["h"])):
         if g["size"] <= ideal:
@@ -134,7 +134,7 @@ def plan_shards(rows: DataFrame, shards: int, tolerance: float) -> Plan:
         known = rows.sparkSession.createDataFrame([(h,) for h in frequent], "h long")
         keys = keys.join(F.broadcast(known), "h", "left_anti")
     if rest_rows:
-        plan.cuts = splitters(keys.select("key", "size"), _targets(loads, rest), ideal * tolerance, (rest, rest_rows))
+        plan.cuts = splitters(keys.select("key", "size"), _targets(loads, rest), ideal * tolerance / 2, (rest, rest_rows))
     return plan
 
 

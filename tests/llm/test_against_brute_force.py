@@ -182,6 +182,21 @@ def test_near_duplicates(spark, documents):
     assert near_dedup(frame(spark, [])).count() == 0
 
 
+def test_one_row_of_each_group_stays_with_columns_of_any_kind(spark, monkeypatch):
+    from sparkloom.llm import near_dedup
+
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text), (1, text), (2, text + " end"), (3, "another text of its own"), (3, "another text of its own"), (4, None)]
+    docs = frame(spark, rows).withColumns({"m": F.create_map(F.lit("a"), F.lit(1)), "b": F.lit(b"x"), "l": F.array(F.create_map(F.lit(1), F.lit("z")))})
+    want = [(1, text), (3, "another text of its own"), (4, None)]
+    same(near_dedup.first_of_groups(docs), want, ["doc_id", "text"])
+    monkeypatch.setattr(near_dedup, "BROADCAST_IDS", 0)
+    far = near_dedup.first_of_groups(docs)
+    same(far, want, ["doc_id", "text"])
+    plan = far._jdf.queryExecution().sparkPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan and far.columns == docs.columns
+
+
 def test_near_duplicates_in_many_blocks(spark, monkeypatch):
     from sparkloom.llm import near_dedup
 
@@ -207,8 +222,15 @@ def test_shards(spark, documents):
     assert shard_by_bytes(frame(spark, [])).count() == 0
 
 
+def test_shards_are_equal_within_the_tolerance(spark):
+    from sparkloom.llm.sharding import TOLERANCE, shard_by_bytes
+
+    sizes = [r["size"] for r in shard_by_bytes(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).groupBy("shard").agg(F.sum("size").alias("size")).collect()]
+    assert len(sizes) == 8 and max(sizes) - min(sizes) <= 2 * TOLERANCE * sum(sizes) / 8
+
+
 def test_equal_texts_share_a_shard_unless_they_are_larger(spark):
-    from sparkloom.llm.sharding import shard_by_bytes
+    from sparkloom.llm.sharding import TOLERANCE, shard_by_bytes
 
     rng = random.Random(9)
     rows = [(i, "half a shard " * 4) for i in range(500)] + [(1000 + i, "nearly a shard " * 9) for i in range(330)]
@@ -219,7 +241,7 @@ def test_equal_texts_share_a_shard_unless_they_are_larger(spark):
         for r in got:
             sizes[r["shard"]] += r["size"]
             texts.setdefault((r["text_crc32"], r["size"]), set()).add(r["shard"])
-        assert max(sizes) - min(sizes) <= 0.03 * sum(sizes) / 8
+        assert max(sizes) - min(sizes) <= max(2 * TOLERANCE * sum(sizes) / 8, 300)
         assert sum(len(x) > 1 for x in texts.values()) == bool(more)
         assert all(sorted(r["slot"] for r in got if r["shard"] == k) == list(range(sum(r["shard"] == k for r in got))) for k in range(8))
 
@@ -484,16 +506,22 @@ def test_altered_licences_are_found_at_every_alignment(spark):
 
 
 def nearest_by_hand(rows, k=20, step=20):
-    """Each query's best candidates; of an id with several vectors the smallest counts."""
-    one = {}
-    for i, v in rows:
-        if i is not None and v and None not in v and all(abs(x) < float("inf") for x in v) and any(v):
-            one[i] = min(one.get(i, v), v)
-    out = []
-    for q, v in one.items():
-        near = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in one.items() if i != q and len(w) == len(v))
-        out += [(q, n, i, -s) for n, (s, i) in enumerate(near[:k], 1) if q % step == 0]
-    return sorted(out)
+    """Each query's best candidates; each distinct (id, vector) is one, and of a query id's vectors all candidates count together."""
+    good = {(i, tuple(v)) for i, v in rows if i is not None and v and None not in v and all(abs(x) < float("inf") for x in v) and any(v)}
+    near = {}
+    for q, v in good:
+        if q % step == 0:
+            near.setdefault(q, []).extend((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q and len(w) == len(v))
+    return sorted((q, n, i, -s) for q, found in near.items() for n, (s, i) in enumerate(sorted(found)[:k], 1))
+
+
+def test_nearest_keeps_all_vectors_of_an_id(spark):
+    from sparkloom.llm.nearest import nearest
+
+    rows = [(0, [1.0]), (1, [0.5]), (1, [0.9]), (1, [0.9]), (2, [0.7]), (0, [2.0])]
+    df = frame(spark, rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, nearest(df, df.where("vec_id % 20 = 0"), k=4).collect()))
+    assert got == [(0, 1, 1, 1.8), (0, 2, 2, 1.4), (0, 3, 1, 1.0), (0, 4, 1, 0.9)] == nearest_by_hand(rows, 4)
 
 
 @pytest.mark.parametrize("blocks", [1 << 20, 512])
