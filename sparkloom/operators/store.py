@@ -16,6 +16,8 @@ from sparkloom.functions.provenance import HEX64, is_safe_path, object_path
 #: The version of each table's schema, recorded when a state is made.
 VERSIONS = {"discovery": 1, "ingestion": 1, "normalization": 1}
 ARTIFACT_VERSION = 1
+#: Places that are named one by one in a read of stored bodies; beyond, all are read.
+NAMED = 1000
 TABLES = {
     "meta": "key string, value int",
     "runs": "run_id long, source_id string, event string, at string, error string",
@@ -79,13 +81,27 @@ def store_conflicts(existing: DataFrame, new: DataFrame) -> DataFrame:
     return wrong.unionAll(other).distinct()
 
 
+def held_paths(existing: DataFrame, new: DataFrame) -> DataFrame:
+    """``path``: places of new objects that hold something already, from the paths alone."""
+    return existing.select("path").join(new.select("path"), "path", "left_semi").distinct()
+
+
 def store_exact(state: State, name: str, new: DataFrame) -> None:
-    """Add objects that aren't there; raises StateError, and stores nothing, if a place holds other bytes."""
+    """Add objects that aren't there; raises StateError, and stores nothing, if a place holds other bytes.
+
+    Stored bodies are read only of places that new objects name. Objects are stored in the order of
+    paths, so that of the others no row group is read where few places are named.
+    """
     existing = state.read(name)
-    bad = store_conflicts(existing, new).orderBy("path").limit(1).collect()
+    there = [r["path"] for r in held_paths(existing, new).limit(NAMED + 1).collect()]
+    held = existing.limit(0)
+    if there:
+        held = existing.where(F.col("path").isin(there)) if len(there) <= NAMED else existing
+    bad = store_conflicts(held, new).orderBy("path").limit(1).collect()
     if bad:
         raise StateError(f"other bytes are at {bad[0]['path']}")
-    state.append(name, new.join(existing.select("path"), "path", "left_anti"))
+    fresh = new.join(existing.select("path"), "path", "left_anti")
+    state.append(name, fresh.repartitionByRange("path").sortWithinPartitions("path"))
 
 
 def _verified(rows: DataFrame, objects: DataFrame, path: str, sha: str, more: list[tuple[str, Column]]) -> DataFrame:
