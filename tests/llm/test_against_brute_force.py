@@ -81,6 +81,17 @@ def test_disclosing_words_count_in_whole_documents(spark):
     assert all("zebulon" not in clean[i].lower() and "report" in clean[i] for i in range(8)) and clean[100] == rows[9][1]
 
 
+def test_texts_are_sanitised_alike_by_broadcast_and_by_exchange(spark, monkeypatch):
+    from sparkloom.llm import pii
+
+    rows = [(i, f"call Zebulon at z{i % 2}@corp.example.com about the report") for i in range(8)] + [(None, None), (9, "plain text"), (0, "other words z0@corp.example.com")]
+    near = sorted(map(str, pii.sanitised(frame(spark, rows)).collect()))
+    monkeypatch.setattr(pii, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(pii, "BROADCAST_EDITS", 0)
+    far = pii.sanitised(frame(spark, rows))
+    assert sorted(map(str, far.collect())) == near and "ShuffledHashJoin" in far._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_disclosing_words_against_a_restatement(spark):
     from sparkloom.llm.pii import find_personal_data
 
