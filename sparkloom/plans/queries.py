@@ -167,6 +167,17 @@ def page_links(spark, d):
     return rows.select("page_id", urls.normalize_url("url", "href").alias("link")).where("link is not null").distinct()
 
 
+@query(r"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<[^>]*>', ' ', 'g'), '&(amp|quot|lt|gt);?', ' ', 'g') AS t FROM pages),
+w AS (SELECT page_id, regexp_extract_all(t, '[\p{L}\p{N}]+') AS w FROM a)
+SELECT page_id, len(w)::BIGINT AS n_words, sha256(array_to_string(w, ' ')) AS words_sha256 FROM w""")
+def page_content(spark, d):
+    from sparkloom.sources.html import page_metadata
+
+    words = F.regexp_extract_all("page.markdown", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    rows = page_metadata(_t(spark, d, "pages").select("page_id", "html"), "html").select("page_id", words.alias("w"))
+    return rows.select("page_id", F.size("w").cast("long").alias("n_words"), F.sha2(F.concat_ws(" ", "w"), 256).alias("words_sha256"))
+
+
 @query("SELECT page_id, regexp_extract(html, '<html lang=\"([a-z]+)\"', 1) AS language FROM pages")
 def page_languages(spark, d):
     from sparkloom.sources.html import page_metadata
