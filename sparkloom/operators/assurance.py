@@ -15,7 +15,7 @@ from sparkloom.sources.html import EXTRACTOR
 from sparkloom.sources.web import AGENT, DELAY, Answer, fetch_pages
 
 #: The version of the extractor that artifacts are pinned to.
-PINNED = {"name": "sparkloom-text", "version": "1"}
+PINNED = {"name": "sparkloom-text", "version": "2"}
 CHECK = "name string, status string, detail string"
 
 
