@@ -5,12 +5,11 @@ Ledgers are immutable event tables; everything that would be an update is a deri
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkloom.tables import unused
+
 
 def latest(df: DataFrame, keys: list[str], order: str = "id") -> DataFrame:
     """The row with the largest order value for each key, by one aggregation with map-side combine."""
@@ -25,23 +24,19 @@ RANGE_IDS = 1 << 20
 def change_class(df: DataFrame, keys: list[str], sha: str, order: str = "id", status: str = "status") -> DataFrame:
     """Adds classification: NEW, UNCHANGED or CHANGED against the key's previous successful row; null for failures.
 
-    order is a whole number. Rows are ordered within ranges of it; the last success of each range is
-    handed on to the ranges after it, so that a key with very many rows isn't one task's. Null keys
-    are keys like others.
+    order is a whole number. Rows are ordered within ranges of it; the last success before a range is
+    found among the ranges' last ones and joined by key and range, so that a key with very many rows
+    is neither one task's nor meets all its ranges. Null keys are keys like others; a row without
+    order stands before all others.
     """
-    good, place = F.col(status) == "success", F.floor(F.col(order) / RANGE_IDS)
-    rows = df.withColumn("_r", place)
-    last = rows.where(good).groupBy(*keys, "_r").agg(F.max_by(sha, order).alias("_last"))
-    handed = last.withColumn("_next", F.lead("_r").over(Window.partitionBy(*keys).orderBy("_r")))
-    handed = handed.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_r").alias("_from"), "_next", "_last")
-    own = F.last(F.when(good, F.col(sha)), ignorenulls=True).over(Window.partitionBy(*keys, "_r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("_own", own)
-    many = df.agg(F.max(place) > F.min(place)).first()[0]
-    if many:
-        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-        after = (F.col("_r") > F.col("_from")) & (F.col("_next").isNull() | (F.col("_r") <= F.col("_next")))
-        rows = rows.join(handed, reduce(and_, [*same, after]), "left")
-    before = F.coalesce("_own", "_last") if many else F.col("_own")
+    here, own, last, key = unused(df, "range", "own", "last", "key")
+    good, same = F.col(status) == "success", F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    rows = df.withColumns({key: same, here: F.coalesce(F.floor(F.col(order) / RANGE_IDS), F.lit(-1))})
+    ends = rows.groupBy(key, here).agg(F.max_by(F.when(good, F.col(sha)), F.when(good, F.coalesce(F.col(order), F.lit(-1)))).alias(last))
+    handed = ends.withColumn(last, F.last(last, ignorenulls=True).over(Window.partitionBy(key).orderBy(here).rowsBetween(Window.unboundedPreceding, -1)))
+    before_here = F.last(F.when(good, F.col(sha)), ignorenulls=True).over(Window.partitionBy(key, here).orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn(own, before_here).join(handed.where(F.col(last).isNotNull()), [key, here], "left")
+    before = F.coalesce(own, last)
     kind = F.when(before.isNull(), "NEW").when(before == F.col(sha), "UNCHANGED").otherwise("CHANGED")
     return rows.withColumn("classification", F.when(good, kind)).select(*df.columns, "classification")
 

@@ -34,3 +34,14 @@ def discard(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until they are no column of df, so that working columns touch none of a caller's."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -220,3 +220,16 @@ def test_change_classes_cross_ranges_of_ids(spark, monkeypatch):
         monkeypatch.setattr(ledger, "RANGE_IDS", size)
         got = ledger.change_class(df, ["k"], "sha")
         assert {r["id"]: r["classification"] for r in got.collect()} == want and got.columns == [*df.columns, "classification"]
+
+
+def test_a_hot_key_over_many_ranges_keeps_its_columns(spark, monkeypatch):
+    from sparkloom.operators import ledger
+
+    monkeypatch.setattr(ledger, "RANGE_IDS", 5)
+    df = spark.range(4000).select("id", F.lit("hot").alias("key"), F.lit("success").alias("status"), (F.col("id") / 500).cast("int").cast("string").alias("sha"), F.lit("mine").alias("range"), F.lit(1).alias("last"), F.lit(2).alias("own"))
+    got = ledger.change_class(df, ["key"], "sha")
+    assert got.columns == [*df.columns, "classification"]
+    assert {r["classification"]: r["count"] for r in got.groupBy("classification").count().collect()} == {"NEW": 1, "CHANGED": 7, "UNCHANGED": 3992}
+    assert got.where("range = 'mine' and last = 1 and own = 2").count() == 4000
+    joins = [x for x in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x]
+    assert len(joins) == 1 and "<" not in joins[0].replace("<=>", "") and ">" not in joins[0].replace("<=>", "")
