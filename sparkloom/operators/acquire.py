@@ -8,6 +8,7 @@ a time appends to a state.
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -18,6 +19,7 @@ from sparkloom.functions.documents import canonical_text
 from sparkloom.functions.provenance import object_path
 from sparkloom.functions.text import normal_lines
 from sparkloom.functions.urls import is_allowed_candidate, normalize_url
+from sparkloom.operators.allowlist import allowed_urls
 from sparkloom.operators.blocks import blocks_of
 from sparkloom.operators.ledger import candidates, latest
 from sparkloom.operators.registry import enabled_sources
@@ -38,7 +40,7 @@ def discover_links(pages: DataFrame, registry: DataFrame, html: str = "text") ->
 
     A page must come from a configured entrypoint, and stand there or at an allowed URL; otherwise,
     and if it has an error already, it is one row with an error. Links to the page itself are left
-    out, the rest come once each. Pages are read once.
+    out, the rest come once each. The HTML of a page is parsed once; links meet prefixes by allowed_urls().
     """
     known = registry.select(F.col("id").alias("source_id"), "enabled", "official", "domains", "entrypoints", "allowed_url_prefixes")
     policy = [F.col(c) for c in ("enabled", "official", "domains", "allowed_url_prefixes")]
@@ -50,10 +52,11 @@ def discover_links(pages: DataFrame, registry: DataFrame, html: str = "text") ->
     outside = (F.col("base") != F.col("origin")) & ~is_allowed_candidate(F.col("base"), *policy)
     error = F.when(F.col("failed").isNotNull(), F.col("failed")).when(~listed, "entrypoint is not configured").when(F.col("base").isNull(), "invalid base URL").when(outside, "base URL is outside source policy")
     rows = rows.withColumn("error", error)
-    found = rows.select("*", F.explode_outer(hrefs(F.when(F.col("error").isNull(), F.col("html")))).alias("href"))
-    found = found.withColumn("url", F.when(F.col("error").isNull(), normalize_url("base", "href")))
-    allowed = is_allowed_candidate(F.col("url"), *policy) & (F.col("url") != F.col("base")) & (F.col("url") != F.col("origin"))
-    return found.where(F.col("error").isNotNull() | F.coalesce(allowed, F.lit(False))).select("source_id", "entrypoint", "url", "error").distinct()
+    failed = rows.where(F.col("error").isNotNull()).select("source_id", "entrypoint", F.lit(None).cast("string").alias("url"), "error")
+    found = rows.where(F.col("error").isNull()).select("source_id", "entrypoint", "base", "origin", F.explode(hrefs("html")).alias("href"))
+    found = found.withColumn("url", normalize_url("base", "href")).where((F.col("url") != F.col("base")) & (F.col("url") != F.col("origin")))
+    links = allowed_urls(found.select("source_id", "entrypoint", "url").distinct(), registry)
+    return links.withColumn("error", F.lit(None).cast("string")).unionByName(failed.distinct())
 
 
 def discover(state: State, registry: DataFrame, get: Callable[[str], Answer], source_id: str | None = None, agent: str = AGENT, delay: float = DELAY, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
@@ -145,9 +148,18 @@ def classified(new: DataFrame, ledger: DataFrame, keys: list[str], sha: str) ->
     return new.join(last, keys, "left").withColumn("classification", F.when(F.col("status") == "success", kind)).drop("_before")
 
 
-def _with_ids(rows: DataFrame, first: int, order: list[str]) -> DataFrame:
-    """Ids from first on, in order; rows of one batch are few beside the ledger."""
-    return rows.withColumn("id", F.row_number().over(Window.orderBy(*order)).cast("long") + (first - 1))
+def numbered(rows: DataFrame, first: int, order: list[str], path: str) -> DataFrame:
+    """rows with id, from first on without gaps in the order of columns; written to path, which the result reads.
+
+    The files are ranges of the order, sorted within. A row's id is its place in its file after the
+    rows of all files before it: only a count for each file meets in one task.
+    """
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(path)
+    made = rows.sparkSession.read.schema(rows.schema).parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    part = [F.regexp_extract("_file", p, 1).cast("long") for p in (r"^part-(\d+)", r"-c(\d+)")]
+    files = made.groupBy("_file").agg(F.count("*").alias("_rows"))
+    starts = files.select("_file", (F.sum("_rows").over(Window.orderBy(*part)) - F.col("_rows")).alias("_start"))
+    return made.join(F.broadcast(starts), "_file").withColumn("id", F.col("_start") + F.col("_place") + first).drop("_file", "_place", "_start")
 
 
 def ingest(state: State, registry: DataFrame, urls: DataFrame, get: Callable[[str], Answer], agent: str = AGENT, delay: float = DELAY, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
@@ -174,7 +186,7 @@ def ingest(state: State, registry: DataFrame, urls: DataFrame, get: Callable[[st
 
 def _recorded(state: State, name: str, rows: DataFrame) -> DataFrame:
     first = state.next_id(name)
-    state.append(name, _with_ids(rows, first, URL_KEYS))
+    state.append(name, numbered(rows, first, URL_KEYS, f"{state.path}/numbered/{name}-{first}-{uuid.uuid4().hex}"))
     return state.read(name).where(F.col("id") >= first)
 
 
