@@ -167,6 +167,27 @@ def page_links(spark, d):
     return rows.select("page_id", urls.normalize_url("url", "href").alias("link")).where("link is not null").distinct()
 
 
+_LINKS = r"""a AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/]+)', 1) AS root, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS href FROM pages),
+l AS (SELECT DISTINCT page_id, regexp_replace(replace(CASE WHEN starts_with(href, '/') THEN root || href ELSE href END, '&amp;', '&'), '#.*$', '') AS url FROM a WHERE href <> '')"""
+
+
+@query(rf"""WITH {_LINKS}, s AS (SELECT l.*, regexp_extract(url, '\.([a-z]+)/', 1) AS source_id, lower(regexp_extract(url, '://([^/?#:]+)', 1)) AS host FROM l),
+r AS (SELECT regexp_extract({_URL}, '\.([a-z]+)/', 1) AS source_id, lower(regexp_extract(url, '://([^/?#:]+)', 1)) AS host, regexp_extract({_URL}, '^([a-z]+://[^/]+/[^/?]*)', 1) AS prefix FROM pages),
+h AS (SELECT DISTINCT source_id, host FROM r), p AS (SELECT DISTINCT source_id, prefix FROM r)
+SELECT page_id, source_id, url FROM s WHERE starts_with(url, 'https://') AND source_id <> 'net' AND EXISTS (SELECT 1 FROM h WHERE h.source_id = s.source_id AND h.host = s.host)
+AND EXISTS (SELECT 1 FROM p WHERE p.source_id = s.source_id AND starts_with(s.url, p.prefix))""")
+def links_allowed(spark, d):
+    """The links of all pages that a registry allows: a source for each top-level domain, a row of it for each page."""
+    from sparkloom.operators.allowlist import allowed_urls
+
+    tld = lambda u: F.regexp_extract(u, r"\.([a-z]+)/", 1)
+    u = urls.normalize_absolute(F.col("url"))
+    prefix = F.regexp_extract(u, r"^([a-z]+://[^/]+/[^/?]*)", 1)
+    registry = _t(spark, d, "pages").select(tld(u).alias("id"), F.lit(True).alias("enabled"), (tld(u) != "net").alias("official"), F.array(urls.host_of(u)).alias("domains"), F.array(prefix).alias("allowed_url_prefixes"))
+    links = page_links(spark, d).withColumnRenamed("link", "url").withColumn("source_id", tld(F.col("url")))
+    return allowed_urls(links, registry).select("page_id", "source_id", "url")
+
+
 @query(r"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '<[^>]*>', ' ', 'g'), '&(amp|quot|lt|gt);?', ' ', 'g') AS t FROM pages),
 w AS (SELECT page_id, regexp_extract_all(t, '[\p{L}\p{N}]+') AS w FROM a)
 SELECT page_id, len(w)::BIGINT AS n_words, sha256(array_to_string(w, ' ')) AS words_sha256 FROM w""")
