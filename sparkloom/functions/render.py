@@ -43,6 +43,18 @@ Claim id: {claim_id}
 Bundle: {bundle_id}
 Citations: {cited}
 Semantic support: UNASSESSED"""
+BUNDLE_VALID = """Bundle {bundle_id}: VALID
+Items: {item_count} | chars: {total_chars}
+Citation integrity: VALID
+Provenance integrity: VALID
+Semantic support: UNASSESSED"""
+CLAIM_VALID = """Claim {claim_id}: citation contract VALID
+Citations: {citation_count}
+Citation integrity: VALID
+Provenance integrity: VALID
+Review status: UNREVIEWED
+Semantic support: UNASSESSED
+Semantic truth: UNASSESSED"""
 CANDIDATE = """
 [{claim_id}] {claim_text}
 Citations: {cited}
@@ -96,6 +108,16 @@ def claim_text(claim: Column, template: str = CLAIM) -> Column:
     return filled(template, _inside(claim, cited=F.array_join(claim["citations"], ", ")))
 
 
+def bundle_validation_text(bundle: Column, error: Column) -> Column:
+    """What a person reads of a verified bundle; null where error says that it isn't valid."""
+    return F.when(error.isNull(), filled(BUNDLE_VALID, _inside(bundle)))
+
+
+def claim_validation_text(claim: Column, error: Column) -> Column:
+    """What a person reads of a claim whose citations were checked; null where error says what is wrong."""
+    return F.when(error.isNull(), filled(CLAIM_VALID, _inside(claim, citation_count=F.size(claim["citations"]))))
+
+
 def result_text(status: Column, candidates: Column) -> Column:
     """What compile_responses() made of a response."""
     head = F.concat(F.lit("Extraction: "), status, F.lit("\nCandidates: "), F.size(candidates).cast("string"), F.lit("\nSemantic support: UNASSESSED\nSemantic truth: UNASSESSED"))

@@ -62,28 +62,6 @@ def review_metrics(judgments: DataFrame, by: list[str]) -> DataFrame:
     return out.withColumns({"supported_precision": share("supported"), "unsupported_rate": share("unsupported")})
 
 
-def coverage(findings: DataFrame, judgments: DataFrame, by: list[str]) -> DataFrame:
-    """Distinct findings that a supported judgment links, over all findings."""
-    linked = judgments.where("verdict = 'supported'").select(*by, F.explode("finding_ids").alias("finding_id")).distinct().withColumn("hit", F.lit(1))
-    out = findings.join(linked, [*by, "finding_id"], "left").groupBy(*by).agg(F.count("hit").alias("numerator"), F.count("*").alias("denominator"))
-    return out.withColumn("value", F.col("numerator") / F.nullif(F.col("denominator"), F.lit(0)))
-
-
 def abstention(claims: Column, findings: Column) -> Column:
     """Whether a case without claims rightly has none: it is appropriate if there was nothing to find."""
     return F.when(claims > 0, "NOT_APPLICABLE").when(findings == 0, "APPROPRIATE").otherwise("INAPPROPRIATE")
-
-
-def registry_rules() -> list[tuple[str, Column]]:
-    """Rules over the rows of a source registry (with n_same_id, the rows that share the id)."""
-    from sparkloom.functions.urls import host_of, is_https
-
-    listed = lambda u: is_https(u) & F.array_contains("domains", host_of(u))
-    return [
-        ("repeated id", F.col("n_same_id") == 1),
-        ("enabled source is not official", ~F.col("enabled") | F.col("official")),
-        ("no domains", F.size("domains") > 0),
-        ("no entrypoints", F.size("entrypoints") > 0),
-        ("entrypoint is not https on a listed domain", F.forall("entrypoints", listed)),
-        ("prefix is not https on a listed domain", F.forall("allowed_url_prefixes", listed)),
-    ]

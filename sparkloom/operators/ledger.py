@@ -86,11 +86,6 @@ def violations(df: DataFrame, entity: Column, rules: list[tuple[str, Column]]) -
     return rows.select("entity_id", "v.rule_no", "v.message")
 
 
-def first_error(broken: DataFrame) -> DataFrame:
-    """The first broken rule of each entity."""
-    return broken.groupBy("entity_id").agg(F.min_by("message", "rule_no").alias("error"))
-
-
 def success_rules(sha: str = "sha256") -> list[tuple[str, Column]]:
     """Success has a hash and no error; an error has a text and no hash."""
     ok, has, bad = F.col("status") == "success", F.col(sha).isNotNull(), F.col("error").isNotNull()

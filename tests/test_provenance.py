@@ -445,3 +445,13 @@ def test_texts_for_people(spark, state, bundle):
     assert row.startswith("[lab] The one\nURL: https://lab.example.org/news/") and "| status: NEW\n" in row
     none = spark.createDataFrame([("NO_CLAIMS",)], "s string").select(render.result_text(F.col("s"), F.array().cast("array<struct<claim_id:string,claim_text:string,citations:array<string>>>"))).first()[0]
     assert none == "Extraction: NO_CLAIMS\nCandidates: 0\nSemantic support: UNASSESSED\nSemantic truth: UNASSESSED"
+
+
+def test_validations_have_texts(spark):
+    from sparkloom.functions import render
+
+    rows = spark.sql("SELECT named_struct('bundle_id', 'eb-1', 'item_count', 2L, 'total_chars', 30L) AS b, named_struct('claim_id', 'cc-1', 'citations', array('ev-1', 'ev-2', 'ev-3')) AS c, e FROM VALUES (CAST(NULL AS STRING)), ('broken') AS t(e)")
+    bundles, claims = (rows.orderBy(F.col("e").isNotNull()).select(made.alias("t")).collect() for made in (render.bundle_validation_text(F.col("b"), F.col("e")), render.claim_validation_text(F.col("c"), F.col("e"))))
+    assert bundles[0]["t"].splitlines() == ["Bundle eb-1: VALID", "Items: 2 | chars: 30", "Citation integrity: VALID", "Provenance integrity: VALID", "Semantic support: UNASSESSED"]
+    assert claims[0]["t"].splitlines() == ["Claim cc-1: citation contract VALID", "Citations: 3", "Citation integrity: VALID", "Provenance integrity: VALID", "Review status: UNREVIEWED", "Semantic support: UNASSESSED", "Semantic truth: UNASSESSED"]
+    assert bundles[1]["t"] is None and claims[1]["t"] is None
