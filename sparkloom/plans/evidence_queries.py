@@ -14,6 +14,7 @@ from sparkloom.functions.provenance import object_path
 from sparkloom.functions.text import normalize_markdown
 from sparkloom.operators import citations, claims, review, store
 from sparkloom.operators.blocks import blocks_of
+from sparkloom.tables import saved
 
 _KEYS = ["conv_id", "turn"]
 
@@ -33,12 +34,17 @@ UNION ALL SELECT conv_id, turn, 3, 'paragraph', 'conv ' || conv_id || ' > ' || r
 k AS (SELECT *, 'b' || lpad(ordinal::varchar, 4, '0') || '-' || sha256(text)[1:12] AS ref FROM b)"""
 
 
-def _ledgers(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Normalizations, ingestions and artifacts of all turns."""
-    long = lambda n: F.lit(n).cast("long")
+def _bodies(spark: SparkSession, d: str) -> DataFrame:
+    """The artifacts' texts of all turns, written once: what reads them plans over a table, not over how they were made."""
     extractor = fields({"name": F.lit("q"), "version": F.lit("1")})
     rows = turns(spark, d).select(*_KEYS, blocks_of(normalize_markdown(F.col("md"))).alias("blocks"))
-    rows = rows.select(*_KEYS, F.size("blocks").cast("long").alias("block_count"), canonical_text(fields({"blocks": F.col("blocks"), "extractor": extractor, "schema_version": long(1)})).alias("body"))
+    body = canonical_text(fields({"blocks": F.col("blocks"), "extractor": extractor, "schema_version": F.lit(1).cast("long")}))
+    return saved(rows.select(*_KEYS, F.get("blocks", F.lit(2))["ref"].alias("third"), F.size("blocks").cast("long").alias("block_count"), body.alias("body")), "bodies")[0]
+
+
+def _ledgers(spark: SparkSession, d: str, bodies: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Normalizations, ingestions and artifacts of all turns."""
+    rows = bodies or _bodies(spark, d)
     name = F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string"))
     raw = F.sha2(F.concat(F.lit("raw "), name), 256)
     id_ = (F.col("conv_id") * 1000 + F.col("turn") + 1).cast("long")
@@ -100,9 +106,9 @@ _VERIFIED_ARTIFACTS = f"""WITH {_LEDGERS} SELECT conv_id, turn, CASE WHEN conv_i
  WHEN turn % 5 = 4 THEN 'extractor does not match the ledger' WHEN turn % 3 = 2 THEN 'block count mismatch' END AS error FROM n"""
 
 
-def _selectors(spark: SparkSession, d: str) -> DataFrame:
+def _selectors(bodies: DataFrame) -> DataFrame:
     """The paragraph of each turn."""
-    rows = turns(spark, d).select(*_KEYS, let(blocks_of(normalize_markdown(F.col("md"))), lambda b: b[2]["ref"]).alias("block_ref"))
+    rows = bodies.select(*_KEYS, F.col("third").alias("block_ref"))
     name = F.concat(F.col("conv_id").cast("string"), F.lit("/"), F.col("turn").cast("string"))
     return rows.select(*_KEYS, F.concat(F.lit("s"), (F.col("conv_id") % 5).cast("string")).alias("source_id"), F.concat(F.lit("https://c.example/"), name).alias("requested_url"), "block_ref")
 
@@ -110,21 +116,22 @@ def _selectors(spark: SparkSession, d: str) -> DataFrame:
 def _citation_lookup(spark: SparkSession, d: str) -> DataFrame:
     """Every fifth turn asks for a block that isn't there, every seventh for a document that isn't."""
     t = F.col("turn")
-    asked = _selectors(spark, d).withColumns({"block_ref": F.when(t % 5 == 0, "b0009-0").otherwise(F.col("block_ref")), "requested_url": F.when(t % 7 == 6, "https://none.example/").otherwise(F.col("requested_url"))})
-    return citations.citations(asked, *_ledgers(spark, d)).select(*_KEYS, F.col("item.evidence_id").alias("evidence_id"), F.col("item.block.text").alias("text"), "error")
+    bodies = _bodies(spark, d)
+    asked = _selectors(bodies).withColumns({"block_ref": F.when(t % 5 == 0, "b0009-0").otherwise(F.col("block_ref")), "requested_url": F.when(t % 7 == 6, "https://none.example/").otherwise(F.col("requested_url"))})
+    return citations.citations(asked, *_ledgers(spark, d, bodies)).select(*_KEYS, F.col("item.evidence_id").alias("evidence_id"), F.col("item.block.text").alias("text"), "error")
 
 
 _CITATION_LOOKUP = f"""WITH {_ITEMS} SELECT conv_id, turn, CASE WHEN turn % 5 <> 0 AND turn % 7 <> 6 THEN eid END AS evidence_id, CASE WHEN turn % 5 <> 0 AND turn % 7 <> 6 THEN text END AS text,
  CASE WHEN turn % 7 = 6 THEN 'no successful normalized evidence' WHEN turn % 5 = 0 THEN 'unknown block ref' END AS error FROM x"""
 
 
-def _bundles(spark: SparkSession, d: str) -> DataFrame:
-    return citations.build_bundles(citations.citations(_selectors(spark, d), *_ledgers(spark, d)), ["conv_id"], 32, 50_000)
+def _bundles(spark: SparkSession, d: str, bodies: DataFrame) -> DataFrame:
+    return citations.build_bundles(citations.citations(_selectors(bodies), *_ledgers(spark, d, bodies)), ["conv_id"], 32, 50_000)
 
 
 def _bundle_totals(spark: SparkSession, d: str) -> DataFrame:
     b = parsed(F.col("bundle"), BUNDLE)
-    return _bundles(spark, d).select("conv_id", b["item_count"].alias("item_count"), b["total_chars"].alias("total_chars"), b["bundle_sha256"].alias("bundle_sha256"), b["bundle_id"].alias("bundle_id"), "error")
+    return _bundles(spark, d, _bodies(spark, d)).select("conv_id", b["item_count"].alias("item_count"), b["total_chars"].alias("total_chars"), b["bundle_sha256"].alias("bundle_sha256"), b["bundle_id"].alias("bundle_id"), "error")
 
 
 _BUNDLE_TOTALS = f"""WITH {_ITEMS} SELECT g.conv_id, u.n AS item_count, u.chars AS total_chars, bsha AS bundle_sha256, 'eb-' || bsha[1:20] AS bundle_id,
@@ -132,9 +139,10 @@ _BUNDLE_TOTALS = f"""WITH {_ITEMS} SELECT g.conv_id, u.n AS item_count, u.chars
 
 
 def _verified(spark: SparkSession, d: str, tampered: Column | None = None) -> DataFrame:
-    rows = _bundles(spark, d).where("bundle is not null").select("conv_id", "bundle")
+    bodies = _bodies(spark, d)
+    rows, _ = saved(_bundles(spark, d, bodies).where("bundle is not null").select("conv_id", "bundle"), "bundles")
     rows = rows if tampered is None else rows.withColumn("bundle", tampered)
-    return citations.verify_bundles(rows, *_ledgers(spark, d), key=["conv_id"])
+    return citations.verify_bundles(rows, *_ledgers(spark, d, bodies), key=["conv_id"])
 
 
 def _bundle_verify(spark: SparkSession, d: str) -> DataFrame:
