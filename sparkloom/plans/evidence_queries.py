@@ -14,6 +14,7 @@ from sparkloom.functions.provenance import object_path
 from sparkloom.functions.text import normalize_markdown
 from sparkloom.operators import citations, claims, review, store
 from sparkloom.operators.blocks import blocks_of
+from sparkloom.operators.long_blocks import blocks_of_lines
 from sparkloom.tables import saved
 
 _KEYS = ["conv_id", "turn"]
@@ -229,9 +230,28 @@ SELECT conv_id, CASE WHEN problem IS NULL THEN len(ids) END AS candidate_count,
  CASE WHEN problem IS NULL THEN CASE WHEN len(ids) > 0 THEN 'NOT_APPLICABLE' WHEN conv_id % 2 = 1 THEN 'INAPPROPRIATE' ELSE 'APPROPRIATE' END END AS abstention, problem AS error FROM e"""
 
 
+def _conversation_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Each conversation as one document, a row for each line: two headings a turn, its text, every third in a fence with what is no heading there."""
+    body = F.trim(F.concat(F.lit("T: "), F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " "))))
+    heads = [F.concat(F.lit("# Turn "), F.col("turn").cast("string")), F.lit(""), F.concat(F.lit("## "), F.coalesce("role", F.lit("none"))), F.lit("")]
+    fenced = [F.lit("```"), body, F.lit(""), F.lit("# no heading"), F.lit("```")]
+    lines = F.when(F.col("turn") % 3 == 1, F.array(*heads, *fenced, F.lit(""))).otherwise(F.array(*heads, body, F.lit("")))
+    rows = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", F.posexplode(lines).alias("i", "line"))
+    made = blocks_of_lines(rows.select("conv_id", (F.col("turn") * 10 + F.col("i")).alias("n"), "line"), ["conv_id"], "n", "line")
+    return made.select("conv_id", "ordinal", "ref", "kind", F.array_join("heading_path", " > ").alias("path"), "text")
+
+
+_CONVERSATION_BLOCKS = r"""WITH t AS (SELECT conv_id, turn, coalesce(role, 'none') AS role, trim('T: ' || trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'))) AS body, 3 * (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) AS before FROM conversations),
+b AS (SELECT conv_id, before + 1 AS ordinal, 'heading' AS kind, 'Turn ' || turn AS path, '# Turn ' || turn AS text FROM t
+UNION ALL SELECT conv_id, before + 2, 'heading', 'Turn ' || turn || ' > ' || role, '## ' || role FROM t
+UNION ALL SELECT conv_id, before + 3, CASE WHEN turn % 3 = 1 THEN 'code' ELSE 'paragraph' END, 'Turn ' || turn || ' > ' || role, CASE WHEN turn % 3 = 1 THEN '```' || chr(10) || body || chr(10) || chr(10) || '# no heading' || chr(10) || '```' ELSE body END FROM t)
+SELECT conv_id, ordinal::INT AS ordinal, 'b' || lpad(ordinal::varchar, greatest(4, length(ordinal::varchar))::INT, '0') || '-' || sha256(text)[1:12] AS ref, kind, path, text FROM b"""
+
+
 def queries() -> dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]]:
     """Each query with its SQL."""
     return {
+        "conversation_blocks": (_conversation_blocks, _CONVERSATION_BLOCKS),
         "artifact_store": (_artifact_store, _ARTIFACT_STORE), "store_conflicts": (_store_conflicts, _STORE_CONFLICTS), "verified_artifacts": (_verified_artifacts, _VERIFIED_ARTIFACTS),
         "citation_lookup": (_citation_lookup, _CITATION_LOOKUP), "bundle_totals": (_bundle_totals, _BUNDLE_TOTALS), "bundle_verify": (_bundle_verify, _BUNDLE_VERIFY),
         "request_rebuild": (_request_rebuild, _REQUEST_REBUILD), "response_compile": (_response_compile, _RESPONSE_COMPILE), "review_coverage": (_review_coverage, _REVIEW_COVERAGE),
