@@ -8,10 +8,11 @@ word t, n(e) with entity e and n(t, e) with both, a word discloses the share
 
 of the entity's information (1: the word occurs only with it; 0: independent). From GENERALISE on
 a word is replaced by its kind, from REMOVE on it is removed, at all its places in the documents
-that hold that entity. Fewer than SUPPORT documents are no evidence.
+that hold that entity. Fewer than SUPPORT documents are no evidence, nor are so few that a word of no
+bearing would have all of them among the entity's by more than CHANCE: (n(e) / N) ** n(t, e). Every
+entity is weighed by this; one that all documents hold carries no information, and so no word can.
 
-A mail address protects its domain too, since it names an organisation. An entity in more than COMMON
-of the documents tells too little to be protected.
+A mail address protects its domain too, since it names an organisation.
 
 Entities are counted first; only the texts that hold one of SUPPORT documents or more are cut into
 words by entity, and counts are shuffled after partial aggregation. The patterns are the contract's,
@@ -23,13 +24,15 @@ matches costs little more than its length.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkloom.functions.arrays import let, running
 from sparkloom.llm.common import discard, listed, saved
 
-SUPPORT, GENERALISE, REMOVE, COMMON = 3, 0.8, 0.95, 0.1
+SUPPORT, GENERALISE, REMOVE, CHANCE = 3, 0.8, 0.95, 0.001
 #: Characters of the blocks that a text is cut into to be rebuilt.
 BLOCK_CHARS = 1024
 #: Rows, and edits of texts, that are broadcast at most.
@@ -113,7 +116,7 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, id_col: str = "doc_id", t
     """(``id, t, text, values``: rows that hold entities with support; ``value, word, share``: the disclosing words)."""
     n = base.count()
     entity = base.where(F.size("values") > 0).select(F.explode("values").alias("value"))
-    entities, entities_path = saved(entity.groupBy("value").agg(F.count("*").alias("n_e")).where((F.col("n_e") >= SUPPORT) & (F.col("n_e") <= COMMON * n)), "entities")
+    entities, entities_path = saved(entity.groupBy("value").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= SUPPORT), "entities")
     holders = base.where(F.size("values") > 0).select("id", "t", F.explode("values").alias("value")).distinct().join(_few(entities), "value")
     holders, holders_path = saved(holders.groupBy("id", "t").agg(F.collect_list("value").alias("values")), "holders")
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -123,7 +126,8 @@ def disclosing_terms(docs: DataFrame, base: DataFrame, id_col: str = "doc_id", t
 
     own = held.select("values", F.explode(_distinct_words(F.col("text"))).alias("word")).select(F.explode("values").alias("value"), "word")
     once = own.groupBy("value", "word").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= SUPPORT)
-    pairs, pairs_path = saved(once.join(_few(entities), "value"), "pairs")
+    telling = F.col("n_te") * F.log2(F.lit(float(n)) / F.col("n_e")) >= -math.log2(CHANCE) - 1e-9
+    pairs, pairs_path = saved(once.join(_few(entities), "value").where(telling), "pairs")
     seen = docs.where(F.col(text_col).isNotNull()).select(F.explode(_distinct_words(F.col(text_col))).alias("word"))
     wanted = _few(pairs.select("word").distinct())
     seen = seen.join(wanted, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n_t"))

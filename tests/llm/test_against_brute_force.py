@@ -67,6 +67,17 @@ def test_disclosing_words_are_found_where_they_stand(spark):
     assert "Zebulon" not in clean[0] and "@" not in clean[0] and clean[100] == rows[8][1]
 
 
+def test_entities_that_many_documents_hold_are_protected(spark):
+    from sparkloom.llm.pii import find_personal_data
+
+    rows = [(i, f"call {'Zebulon' if i % 2 else 'us'} at z{i}@corp.example.com about the report") for i in range(40)]
+    rows += [(100 + i, f"the report about the call number {i} at noon for {'Quimby' if i < 3 else 'us'}") for i in range(60)]
+    got = {r["doc_id"]: r["spans"] for r in find_personal_data(frame(spark, rows)).collect()}
+    assert all(("term:5:12" in got[i]) == (i % 2 == 1) for i in range(40)) and all(got[100 + i] == "" for i in range(60))
+    everywhere = find_personal_data(frame(spark, rows[:40])).collect()
+    assert len(everywhere) == 40 and not any("term" in r["spans"] for r in everywhere)
+
+
 def test_disclosing_words_count_in_whole_documents(spark):
     from sparkloom.llm.pii import find_personal_data, sanitised
 
