@@ -134,13 +134,13 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], shuffled: list[tuple[n
     e = rng.normal(0, 0.1, (BUCKETS, DIMENSIONS))
     w, b = np.zeros((DIMENSIONS, len(languages))), np.zeros(len(languages))
     y = [languages.index(r[0]) for r in rows]
-    share = [r[2] / r[2].sum() for r in rows]
+    share = lambda i: rows[i][2] / rows[i][2].sum()
     steps, done = EPOCHS * len(fit), 0
     for _ in range(EPOCHS):
         for i in rng.permutation(fit):
             rate = RATE * (1 - done / steps)
             done += 1
-            at, part = rows[i][1], share[i]
+            at, part = rows[i][1], share(i)
             mean = part @ e[at]
             z = mean @ w + b
             p = np.exp(z - z.max())
@@ -152,7 +152,7 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], shuffled: list[tuple[n
             e[at] -= rate * (part * min(len(at), GAIN / (part @ part)))[:, None] * back
     model = Model(languages, e, w, b)
     model.learn_likelihoods([(y[i], rows[i][1], rows[i][2]) for i in fit])
-    _calibrate(model, [(y[i], rows[i][1], share[i], rows[i][2]) for i in held], list(shuffled))
+    _calibrate(model, [(y[i], rows[i][1], share(i), rows[i][2]) for i in held], list(shuffled))
     return model
 
 
@@ -221,6 +221,15 @@ def _sparse(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(x, pa.list_(pa.int32())) for x in made.values()]], ["h", "lang", *made])
 
 
+def _arrays(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    """Each list as a view of the fetched values: never as Python's numbers, which take nine times the memory and don't give it back."""
+    out = []
+    for chunk in lists.chunks:
+        ends, values = chunk.offsets.to_numpy(), chunk.values.to_numpy()
+        out += [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return out
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model | None:
     """Train on a sample of labelled rows of docs: those with the smallest hashes of id and text.
 
@@ -239,9 +248,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     of = F.broadcast(of) if languages <= SAMPLE_TOTAL else of
     wanted = labelled.join(of, "lang").where(F.pmod("h", F.lit(1 << 30)) * F.col("n") < each * (1 << 30))
     sparse = wanted.select("h", "lang", "t").mapInArrow(_sparse, "h long, lang string, at array<int>, n array<int>, mixed_at array<int>, mixed_n array<int>")
-    rows = sparse.orderBy("h", "lang", "at", "n").limit(SAMPLE_TOTAL).collect()
-    own, mixed = ([(np.array(r[f"{x}at"], np.int64), np.array(r[f"{x}n"], np.float64)) for r in rows] for x in ("", "mixed_"))
-    return train([(r["lang"], *x) for r, x in zip(rows, own, strict=True)], [x for x in mixed if len(x[0])])
+    sample = sparse.orderBy("h", "lang", "at", "n").limit(SAMPLE_TOTAL).toArrow()
+    own, mixed = (zip(_arrays(sample.column(f"{x}at")), _arrays(sample.column(f"{x}n")), strict=True) for x in ("", "mixed_"))
+    return train([(lang, *x) for lang, x in zip(sample.column("lang").to_pylist(), own, strict=True)], [x for x in mixed if len(x[0])])
 
 
 def _named(batches, model: Model | None, text_at: int | None = None):
