@@ -18,6 +18,7 @@ from sparkloom.functions.provenance import HEX64
 from sparkloom.operators.evidence import DOCUMENT_KEYS, HARD_CHARS, HARD_ITEMS, MAX_CHARS, MAX_ITEMS, provenance_rules
 from sparkloom.operators.ledger import latest
 from sparkloom.operators.store import verified_artifacts
+from sparkloom.tables import saved
 
 #: What evidence and bundles call themselves.
 EVIDENCE_TYPE, EVIDENCE_TRUST, BUNDLE_TYPE, BUNDLE_TRUST, BUNDLE_VERSION = "external_evidence", "data_not_instructions", "evidence_bundle", "external_data_only", 1
@@ -171,10 +172,11 @@ def verify_bundles(bundles: DataFrame, normalizations: DataFrame, ingestions: Da
 
     key names the columns that tell bundles apart. Items are checked against the very observation
     that they name, however many came after it. All items of all bundles meet the ledgers in one
-    join; artifacts that no item names are not read.
+    join; artifacts that no item names are not read. Bundles are checked alone once, and written with
+    the outcome, since the plan reads them three times.
     """
     key = key or [c for c in bundles.columns if c != bundle]
-    shaped = bundles.withColumn("shape_error", bundle_error(F.col(bundle)))
+    shaped, _ = saved(bundles.withColumn("shape_error", bundle_error(F.col(bundle))), "shaped")
     good = shaped.where("shape_error is null").select(F.struct(*key).alias("own"), F.explode(parsed(F.col(bundle), BUNDLE)["items"]).alias("claimed"))
     asked = good.select("*", F.col("claimed.provenance.normalization_observation_id").alias("pinned"), F.col("claimed.block.ref").alias("block_ref"))
     pins = asked.select(F.col("pinned").alias("id")).distinct()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkloom.functions.documents import ARTIFACT_HEAD, first_broken, parsed
 from sparkloom.functions.provenance import HEX64, is_safe_path, object_path
+from sparkloom.tables import unused
 
 #: The version of each table's schema, recorded when a state is made.
 VERSIONS = {"discovery": 1, "ingestion": 1, "normalization": 1}
@@ -104,9 +105,10 @@ def store_exact(state: State, name: str, new: DataFrame) -> None:
     state.append(name, fresh.repartitionByRange("path").sortWithinPartitions("path"))
 
 
-def _verified(rows: DataFrame, objects: DataFrame, path: str, sha: str, more: list[tuple[str, Column]]) -> DataFrame:
+def _verified(rows: DataFrame, objects: DataFrame, path: str, sha: str, more: list[tuple[str, Column]], made: dict[str, Column] | None = None) -> DataFrame:
+    """made: columns of the joined rows that more names, each made once a row however many rules name it."""
     held = objects.select(F.col("path").alias("held_path"), F.col("body"))
-    joined = rows.join(held, F.col(path) == F.col("held_path"), "left")
+    joined = rows.join(held, F.col(path) == F.col("held_path"), "left").withColumns(made or {})
     rules = [
         ("path escapes the state folder", is_safe_path(F.col(path))),
         ("recorded hash is not a SHA-256", F.col(sha).rlike(HEX64)),
@@ -130,8 +132,8 @@ def verified_objects(ingestions: DataFrame, objects: DataFrame) -> DataFrame:
 def verified_artifacts(normalizations: DataFrame, artifacts: DataFrame) -> DataFrame:
     """Successful normalizations with blocks, and error: null if the artifact is whole and is the one recorded."""
     rows = normalizations.where("status = 'success'").drop("error")
-    text = F.try_validate_utf8(F.col("body").cast("string"))
-    head = parsed(text, ARTIFACT_HEAD)
+    (name,) = unused(rows, "head")
+    head = F.col(name)
     rules = [
         ("artifact is not a JSON object", head.isNotNull()),
         ("unsupported artifact schema version", head["schema_version"] == ARTIFACT_VERSION),
@@ -139,5 +141,5 @@ def verified_artifacts(normalizations: DataFrame, artifacts: DataFrame) -> DataF
         ("artifact has no citation blocks", F.size(head["blocks"]) > 0),
         ("block count mismatch", F.size(head["blocks"]) == F.col("block_count")),
     ]
-    out = _verified(rows, artifacts, "artifact_path", "normalized_sha256", rules)
-    return out.withColumn("blocks", F.when(F.col("error").isNull(), head["blocks"])).drop("body")
+    out = _verified(rows, artifacts, "artifact_path", "normalized_sha256", rules, {name: parsed(F.try_validate_utf8(F.col("body").cast("string")), ARTIFACT_HEAD)})
+    return out.withColumn("blocks", F.when(F.col("error").isNull(), head["blocks"])).drop("body", name)

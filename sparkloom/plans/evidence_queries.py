@@ -127,7 +127,9 @@ _CITATION_LOOKUP = f"""WITH {_ITEMS} SELECT conv_id, turn, CASE WHEN turn % 5 <>
 
 
 def _bundles(spark: SparkSession, d: str, bodies: DataFrame) -> DataFrame:
-    return citations.build_bundles(citations.citations(_selectors(bodies), *_ledgers(spark, d, bodies)), ["conv_id"], 32, 50_000)
+    """Bundles of citations, which are written once: a bundle's limits and its items each read them."""
+    cited, _ = saved(citations.citations(_selectors(bodies), *_ledgers(spark, d, bodies)), "cited")
+    return citations.build_bundles(cited, ["conv_id"], 32, 50_000)
 
 
 def _bundle_totals(spark: SparkSession, d: str) -> DataFrame:
