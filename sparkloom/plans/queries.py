@@ -12,6 +12,7 @@ from sparkloom.functions import text as tx
 from sparkloom.functions import urls
 from sparkloom.operators import blocks, dataset, evidence, ledger, registry
 from sparkloom.plans import evidence_queries
+from sparkloom.tables import discard, saved, shuffles_dropped
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -126,11 +127,13 @@ def tfidf_weights(spark, d):
 @query()
 def logistic_predictions(spark, d):
     rows = _t(spark, d, "documents").select("doc_id", F.col("lang").alias("label"), "text")
-    split = dataset.stratified_split(rows, "label", F.col("doc_id").cast("string"))
-    names = [r["label"] for r in split.groupBy("label").count().orderBy("label").collect()]
-    indexed = split.withColumn("y", F.array_position(F.array(*[F.lit(x) for x in names]), F.col("label")).cast("double") - 1)
-    model = dataset.fit_logistic(dataset.balanced_weights(indexed.where("split = 'train'"), "label"), "y", "text")
-    out = model.transform(indexed.where("split = 'test'"))
+    with shuffles_dropped(spark):
+        split, path = saved(dataset.stratified_split(rows, "label", F.col("doc_id").cast("string")), "split")
+        names = [r["label"] for r in split.groupBy("label").count().orderBy("label").collect()]
+        indexed = split.withColumn("y", F.array_position(F.array(*[F.lit(x) for x in names]), F.col("label")).cast("double") - 1)
+        model = dataset.fit_logistic(dataset.balanced_weights(indexed.where("split = 'train'"), "label"), "y", "text")
+        out = model.transform(indexed.where("split = 'test'"))  # saves its rows
+        discard(spark, path)
     return out.select("doc_id", "label", F.element_at(F.array(*[F.lit(x) for x in names]), F.col("prediction").cast("int") + 1).alias("prediction"))
 
 
